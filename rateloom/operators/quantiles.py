@@ -48,16 +48,20 @@ def from_bits(bits: Column) -> Column:
     return F.when(bits < 0, -x).otherwise(x)
 
 
+def _with_bits(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    x = F.col(value).cast("double")
+    return df.where(x.isNotNull() & ~F.isnan(x)).select(*groups, ordered_bits(x).alias("_bits"))
+
+
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """(groups, _bits, _n): how often each value occurs; null and NaN are left out, null groups are groups."""
-    named = df.select(*groups, ordered_bits(F.col(value).cast("double")).alias("_bits"))
-    return named.where(F.col("_bits").isNotNull()).groupBy(*groups, "_bits").agg(F.count(F.lit(1)).alias("_n"))
+    return _with_bits(df, groups, value).groupBy(*groups, "_bits").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def radix_summary(df: DataFrame, groups: list[str], value: str, bits: int = SUMMARY_BITS) -> DataFrame:
     """A mergeable summary (groups, digit, n): counts of the values' leading bits. Merge by union and merge_summaries."""
-    counts = df.select(*groups, ordered_bits(F.col(value).cast("double")).alias("_b")).where(F.col("_b").isNotNull())
-    return counts.groupBy(*groups, F.shiftright("_b", 64 - bits).alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+    digits = _with_bits(df, groups, value).select(*groups, F.shiftright("_bits", 64 - bits).alias("digit"))
+    return digits.groupBy(*groups, "digit").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merge_summaries(*parts: DataFrame) -> DataFrame:
