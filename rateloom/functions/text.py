@@ -85,7 +85,7 @@ def npi_format_ok(col: Column) -> Column:
 
 def npi_luhn_ok(col: Column) -> Column:
     """Check digit over the prefix 80840 and the ten digits."""
-    return npi_format_ok(col) & F.luhn_check(F.concat(F.lit("80840"), col))
+    return npi_format_ok(col) & F.call_function("luhn_check", F.concat(F.lit("80840"), col))
 
 
 def is_hospital_taxonomy(col: Column) -> Column:
