@@ -104,11 +104,12 @@ def _text(v) -> str | None:
     return json.dumps(v)
 
 
-def walk(root, wanted: Callable[[str, str], bool] | None = None, discriminator: str | None = None, skip_root: str | None = None) -> Iterator[tuple]:
+def walk(root, wanted: Callable[[str, str], bool] | None = None, discriminator: str | None = None, skip_root: str | None = None, containers: bool = False) -> Iterator[tuple]:
     """Triples of a parsed record in document order, without recursion.
 
     wanted(pattern, name) prunes what is emitted. discriminator names the member that makes an object
-    an entity; a root whose discriminator equals skip_root is none.
+    an entity; a root whose discriminator equals skip_root is none. containers adds a triple without
+    value for each object.
     """
     stack = [(root, "", "", (), "", None, None)]
     while stack:
@@ -116,6 +117,8 @@ def walk(root, wanted: Callable[[str, str], bool] | None = None, discriminator:
         if isinstance(node, dict):
             if discriminator and isinstance(node.get(discriminator), str) and not (node is root and node[discriminator] == skip_root):
                 entity = (path, node[discriminator])
+            if containers and (wanted is None or wanted(pattern, name)):
+                yield _text(path), _text(pattern), list(ordinals), _text(name), None, "object", _text(parent), _text(entity[0]) if entity else None, _text(entity[1]) if entity else None
             dot = "." if path else ""
             stack.extend((v, f"{path}{dot}{k}", f"{pattern}{dot}{k}", ordinals, k, path, entity) for k, v in reversed(node.items()))
         elif isinstance(node, list):
@@ -124,7 +127,7 @@ def walk(root, wanted: Callable[[str, str], bool] | None = None, discriminator:
             yield _text(path), _text(pattern), list(ordinals), _text(name), _text(node), _kind(node), _text(parent), _text(entity[0]) if entity else None, _text(entity[1]) if entity else None
 
 
-def json_triples(df: DataFrame, record: str, body: str, names: tuple[str, ...] | None = None, discriminator: str | None = None, skip_root: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+def json_triples(df: DataFrame, record: str, body: str, names: tuple[str, ...] | None = None, discriminator: str | None = None, skip_root: str | None = None, carry: tuple[str, ...] = (), containers: bool = False) -> DataFrame:
     """(record, carry..., triples): names limits what leaves the parser to members of these names."""
     keep = frozenset(names) if names else None
     schema = df.select(record, *carry).schema
@@ -149,7 +152,7 @@ def json_triples(df: DataFrame, record: str, body: str, names: tuple[str, ...] |
                     except ValueError:
                         continue
                     before = len(rows)
-                    rows.extend(walk(tree, wanted, discriminator, skip_root))
+                    rows.extend(walk(tree, wanted, discriminator, skip_root, containers))
                     at.extend([i] * (len(rows) - before))
                 if not rows:
                     continue

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..plans.materialize import read_text, write_text_atomic
+from ..plans.materialize import hadoop_fs, read_text, write_text_atomic
 from ..sources.registry import ATTRIBUTES, BESIDE, row_hash
 from .relational import first_by
 
@@ -142,8 +142,15 @@ class HistoryStore:
             entry |= self._merge(m, s) | {"outcome": "applied"}
         m["ledger"].append(entry)
         self._commit(m)
+        self._clear()
         return entry
 
+    def _clear(self) -> None:
+        """Drop the scratch tables of applied files."""
+        fs, found = hadoop_fs(self.spark, f"{self.path}/work-*")
+        for s in fs.globStatus(found) or []:
+            fs.delete(s.getPath(), True)
+
     def _merge(self, m: dict, s: Staged) -> dict:
         tag = uuid.uuid4().hex
         # what follows is read several times: it is written once, beside the state
