@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import full_match, strip
 
-DECIMAL = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+DECIMAL = r"[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?"
 
 
 def parse_number(col: Column) -> Column:

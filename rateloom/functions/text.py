@@ -50,7 +50,7 @@ def any_date(col: Column) -> Column:
 
 def norm_header(col: Column) -> Column:
     """Column names without letter case, blanks around '|' or a byte order mark."""
-    return F.regexp_replace(F.lower(strip(col)), r"\s*\|\s*", "|")
+    return F.regexp_replace(F.lower(strip(col)), r"(?<!\s)\s*+\|\s*+", "|")
 
 
 def norm_name(col: Column) -> Column:

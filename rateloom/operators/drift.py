@@ -218,7 +218,7 @@ def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame) -> D
     order = file_order(files, rows)
     ren = changes.where("kind = 'renamed'").groupBy("hospital_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("column_name").alias("a"), F.col("new_name").alias("b")))).alias("_renames"))
     placed = order.join(ren, "hospital_id", "left").select("source_sha256", "hospital_id", "seq", "_renames")
-    lines = salted_join(rows.drop("hospital_id"), placed, ["source_sha256"], F.col("line_no"))
+    lines = salted_join(rows.select("source_sha256", "line_no", "line_key", "row_json"), placed, ["source_sha256"], F.col("line_no"))
     cells = members(lines, ["hospital_id", "source_sha256", "seq", "line_no", "line_key", "_renames"])
     name = F.aggregate(F.filter("_renames", lambda r: r["seq"] > F.col("seq")), F.col("member"), lambda acc, r: F.when(acc == r["a"], r["b"]).otherwise(acc))
     cells = cells.withColumn("column_name", F.when(F.col("_renames").isNull(), F.col("member")).otherwise(name)).drop("_renames")

@@ -24,7 +24,8 @@ from ..plans.skew import salted_join
 
 #: Stands for a separating comma while quoted commas are told apart; a noncharacter, never part of text.
 _SEP = "﷐"
-NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+#: Possessive, so that a long cell of digits is read once.
+NUMBER = r"^[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?\z"
 
 
 @dataclass(frozen=True)
@@ -73,12 +74,15 @@ def well_quoted(pieces: Column) -> Column:
     An outer piece between two quote signs must be empty (a doubled sign) or begin and end with a
     comma; the first must end with one, the last begin with one. Linear, without regex backtracking.
     """
-    last = F.size(pieces) - 1
-
     def bad(x: Column, i: Column) -> Column:
-        return (i % 2 == 0) & (x != "") & (((i > 0) & ~x.startswith(",")) | ((i < last) & ~x.endswith(",")))
+        return (i % 2 == 1) & (x != "") & ~(x.startswith(",") & x.endswith(","))
 
-    return (last % 2 == 0) & ~F.exists(F.transform(pieces, bad), lambda b: b)
+    n = F.size(pieces)
+    # the lambda sees nothing but its element: an array named in it would be made anew for each one
+    inner = F.transform(F.slice(pieces, F.lit(2), F.greatest(n - 2, F.lit(0))), bad)
+    first, last = F.get(pieces, F.lit(0)), F.element_at(pieces, -1)
+    edges = ((first == "") | first.endswith(",")) & ((last == "") | last.startswith(","))
+    return (n == 1) | ((n % 2 == 1) & edges & ~F.exists(inner, lambda b: b))
 
 
 def cells_of(pieces: Column) -> Column:
@@ -90,10 +94,8 @@ def cells_of(pieces: Column) -> Column:
 def castable(value: Column, kind: Column, schema: tuple[Rule, ...]) -> Column:
     """Whether a cell fits its column. kind: a rule's index in the schema as text, or null for free text."""
     v = F.lower(strip(value))
-    digits = v.rlike(r"^[0-9]+\z")
-    ok = F.when(kind == "number", v.rlike(NUMBER)).when(
-        kind == "count", (v == "0") | (v == "1 through 10") | (digits & ((F.length(F.ltrim(v, F.lit("0"))) > 2) | (F.expr("true") & (F.ltrim(v, F.lit("0")) >= "11") & (F.length(F.ltrim(v, F.lit("0"))) == 2))))
-    )
+    from_eleven = v.rlike(r"^0*+(?:1[1-9]|[2-9][0-9]|[1-9][0-9]{2,})\z")
+    ok = F.when(kind == "number", v.rlike(NUMBER)).when(kind == "count", v.isin("0", "1 through 10") | from_eleven)
     for r in schema:
         if r.kind == "enum":
             ok = ok.when(kind == r.name, v.isin(*r.allowed))

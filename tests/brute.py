@@ -72,7 +72,7 @@ def valid(name, v):
     if not v:
         return True
     if name in NUM:
-        return bool(re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?", v))
+        return bool(re.fullmatch(r"[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?", v))
     if name in ENUM:
         return v in ENUM[name]
     if name == "count":
@@ -194,7 +194,7 @@ def p4(rows, files):
             for g in sorted(gone):
                 for n in sorted(new):
                     both = [(la[k][g], lb[k][n]) for k in la.keys() & lb.keys() if la[k].get(g) is not None and lb[k].get(n) is not None]
-                    if both and 2 * sum(x == y for x, y in both) >= len(both):
+                    if both and 2 * sum(jtype(x) == jtype(y) and x == y for x, y in both) >= len(both):
                         out.add((b, "renamed", g, n))
                         gone, new = gone - {g}, new - {n}
             out |= {(b, "removed", c, "") for c in gone} | {(b, "added", c, "") for c in new}
