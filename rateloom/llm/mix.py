@@ -40,7 +40,7 @@ MOST_SOURCES = 100_000
 
 def token_counts(documents: DataFrame, text: str = "text", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """documents with `tokens` in place of the text; the text is read by the tokenizer's workers and goes no further."""
-    rest = [f for f in documents.schema.fields if f.name != text]
+    rest = [f for f in documents.schema.fields if f.name not in (text, "tokens")]
     path = os.path.join(folder, vocabulary)
 
     def run(batches):
@@ -127,7 +127,8 @@ def copies(counts: DataFrame, solved: DataFrame, key: str) -> DataFrame:
     solved has one row a source, checked against MOST_SOURCES.
     """
     s = solved.select("source", "lambda", "mean", "cap")
-    j = small_join(counts, s, ["source"], "left", MOST_SOURCES)
+    own = [c for c in counts.columns if c not in ("lambda", "mean", "cap", "rate", "copies")]
+    j = small_join(counts.select(*own), s, ["source"], "left", MOST_SOURCES)
     rate = F.when(F.col("tokens") > 0, F.coalesce(_rate(F.col("lambda"), F.col("tokens"), F.col("mean"), F.col("cap")), F.lit(0.0))).otherwise(0.0)
     even = (F.pmod(F.xxhash64(F.col(key), F.lit("mix")), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     j = j.withColumn("rate", rate)

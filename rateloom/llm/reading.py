@@ -30,7 +30,7 @@ SIGNS = 28
 TEXT_ENDINGS = frozenset(("md", "markdown", "txt", "rst"))
 TEXT_NAMES = re.compile(r"(?i)^(licen[cs]e|copying|notice|readme)\b")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_END = re.compile(r"[.!?]+(?=\s|$)")
+_END = re.compile(r"(?<![.!?])[.!?]++(?=\s|$)")
 _LINE = re.compile(r"[ \t]*(?://+!?|--+(?=\s|$)|#+(?=\s|$)|;+(?=\s|$))(.*)")
 _BREAK = re.compile(r"\r\n|\r|\n")
 _CODE = re.compile(r"[;{}]\s*$|^\s*(?:import|from|def|class|package|export|const|let|var|func|fn|pub|use|return|if|for|while|public|private|static|select|insert|update|create|alter|#include)\b.*[(){};=:\"'.]|^\s*[\w.$]+\s*(?:=|\(|:\s*\S+$)|[(\[{]\s*$")
