@@ -103,3 +103,22 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p2_found, p2_changed_fields, p3_found, p4_found, p4_table, p5_found, p5_hospitals, p6_found, p6_charges, p7_found)}
+
+# ---------------------------------------------------------------- what SQL can say of them
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(13)"
+_DAY = "try_strptime(trim({c}), '%m/%d/%Y')::date"
+_FIELDS = ["entity_type", "org_name", "last_name", "first_name", "credential", "practice_address_1", "practice_city", "practice_state", "practice_postal"]
+_ROW = ", ".join([*[f"nullif(trim({c}), '') as {c}" for c in _FIELDS], *[f"{_DAY.format(c=c)} as {c}" for c in ("enumeration_date", "deactivation_date", "reactivation_date")], "nullif(trim(primary_taxonomy), '') as primary_taxonomy", "array_to_string(list_filter(list_transform(taxonomy_codes, lambda x: trim(x)), lambda x: x <> ''), chr(1)) as codes"])
+_ALL = ", ".join([*_FIELDS, "enumeration_date", "deactivation_date", "reactivation_date", "primary_taxonomy", "codes"])
+_SNAPS = f"""with f as (select source_file, max(coverage_end) as e, row_number() over (order by max(coverage_end)) as seq from file_log where outcome = 'applied' and source_file in (select source_file from nppes_full) group by 1),
+r as (select f.seq, f.e, f.source_file, trim(n.npi) as npi, coalesce({_DAY.format(c='n.last_update_date')}, date '0001-01-01') as day, {_ROW.replace('nullif(trim(', 'nullif(trim(n.').replace('trim(enum', 'trim(n.enum').replace('trim(deact', 'trim(n.deact').replace('trim(react', 'trim(n.react').replace('taxonomy_codes', 'n.taxonomy_codes')} from nppes_full n join f on f.source_file = n.source_file),
+s as (select * from r qualify row_number() over (partition by seq, npi order by day desc) = 1)"""
+
+ORACLES = {
+    "p2_found": _SNAPS + f"""select f.source_file, coalesce(a.npi, b.npi) as npi, case when a.npi is null then 'added' when b.npi is null then 'removed' else 'changed' end as change_kind
+from (select *, row({_ALL}) as v, seq + 1 as pair from s) a full join (select *, row({_ALL}) as v from s) b on a.pair = b.seq and a.npi = b.npi join f on f.seq = coalesce(b.seq, a.pair)
+where f.seq > 1 and (a.npi is null or b.npi is null or a.v is distinct from b.v)""",
+    "p5_found": """select hospital_id, payer from (select distinct charge_id, hospital_id, lower(trim(payer_name)) as payer, negotiated_rate as v from fct_standard_charges where negotiated_rate > 0 and not isnan(negotiated_rate) and negotiated_rate <> 999999999 and payer_name is not null and hospital_id is not null and charge_id is not null)
+where payer <> '' group by 1, 2 having count(*) >= 30 and quantile_cont(v, 0.9) >= 10 * median(v)""",
+}
