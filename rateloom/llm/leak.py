@@ -1,10 +1,11 @@
 """Problem 8: evaluation texts that leak into training text.
 
 A BM25 inverted index of the test items is searched with block-max WAND by every training passage.
-Terms are shingles of five words. A passage with at most one in eight of 20 or more item words
-replaced, dropped or added keeps a run of six of them, hence two neighbouring shingles of the item;
-the least score that two neighbouring shingles of an item can give is therefore a threshold that
-loses no leak. What lies above it is verified by an exact alignment.
+Terms are shingles of five words. A stretch of n item words with e of them replaced, dropped or added
+keeps at least n - e words in at most e + 1 runs, hence n - 5e - 4 shingles; over all lengths that count
+and at most one edit in eight words these are never fewer than five. The least score that so many
+shingles of an item can give is therefore a threshold that loses no leak. What lies above it is
+verified by an exact alignment.
 
 The items are the query set that is stated once for all documents. They are indexed in blocks of at
 most BLOCK_ITEMS items, so that what is sent to the executors is bounded; each block is one scan of
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 SHINGLE, LEAST, ONE_IN = 5, 20, 8
 #: A passage of twice LEAST words splits into two of which one is within the bound, so longer ones need no look.
 LONGEST = 2 * LEAST - 1
+#: Shingles that any such passage shares with its item.
+SHARED = min(n - SHINGLE * (n // ONE_IN) - (SHINGLE - 1) for n in range(LEAST, LONGEST + 1))
 #: Words of a query passage and their step: any aligned stretch lies within one.
 PASSAGE, STEP = 96, 48
 #: BM25 parameters and postings of a block.
@@ -80,8 +83,11 @@ class Index:
                 impact[key] = float(idf * f * (K1 + 1) / (f + K1 * (1 - B + B * len(k) / mean)))
                 postings[key].append((doc, impact[key]))
             ks = k.tolist()
-            # neighbours that are equal count once in a query
-            self.least[doc] = min(impact[a] + (impact[b] if b != a else 0.0) for a, b in zip(ks, ks[1:]))
+            if len(tf) == len(ks):
+                self.least[doc] = sum(sorted(impact.values())[:SHARED])
+            else:
+                # repeated shingles count once in a query: any run of six words has two neighbours
+                self.least[doc] = min(impact[a] + (impact[b] if b != a else 0.0) for a, b in zip(ks, ks[1:]))
         self.threshold = float(self.least.min()) if len(kept) else np.inf
         self.postings = dict(postings)
         self.blocks = {k: [max(x for _, x in p[s : s + POSTINGS]) for s in range(0, len(p), POSTINGS)] for k, p in postings.items()}
@@ -199,7 +205,7 @@ def leaks(index: Index, ids: np.ndarray, keys: np.ndarray, hit: np.ndarray) -> l
             while e + 1 < len(mine) and mine[e + 1][0] - mine[e][0] <= 2 * reach:
                 e += 1
             part = mine[s : e + 1]
-            if _exact_run(part) or _near(text, ids, part, reach):
+            if len(part) >= SHARED and (_exact_run(part) or _near(text, ids, part, reach)):
                 found.add(doc)
             s = e + 1
     return sorted(found)
