@@ -194,6 +194,8 @@ def _correspondences(prof: DataFrame, both: DataFrame, evidence: DataFrame) -> D
     schemas = sides.groupBy("hospital_id", "seq").agg(F.array_sort(F.collect_list(F.when(F.col("side") == 0, F.col("c")))).alias("old"), F.array_sort(F.collect_list(F.when(F.col("side") == 1, F.col("c")))).alias("new"))
     shares = evidence.groupBy("hospital_id", "seq").agg(F.collect_list(F.struct("old_name", "new_name", "share")).alias("ev"))
     graph = schemas.join(shares, ["hospital_id", "seq"], "left")
+    # few bytes but much work for each pair: spread by number, not by size
+    graph = graph.repartition(4 * prof.sparkSession.sparkContext.defaultParallelism)
 
     def run(batches):
         import pandas as pd
