@@ -122,3 +122,37 @@ where f.seq > 1 and (a.npi is null or b.npi is null or a.v is distinct from b.v)
     "p5_found": """select hospital_id, payer from (select distinct charge_id, hospital_id, lower(trim(payer_name)) as payer, negotiated_rate as v from fct_standard_charges where negotiated_rate > 0 and not isnan(negotiated_rate) and negotiated_rate <> 999999999 and payer_name is not null and hospital_id is not null and charge_id is not null)
 where payer <> '' group by 1, 2 having count(*) >= 30 and quantile_cont(v, 0.9) >= 10 * median(v)""",
 }
+
+_CELL = """("(?:[^"]|"")*"|[^",]*)"""
+_CELLS = "list_transform(regexp_extract_all(',' || {x}, ',' || '" + _CELL + "', 1), lambda c: case when c like '\"%' then replace(c[2:length(c) - 1], '\"\"', '\"') else c end)"
+_STRIP = "trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(65279))"
+_NUMERIC = ", ".join(f"'{r.name}'" for r in quarantine.TALL_SCHEMA if r.kind == "number")
+_ENUMS = " ".join(f"when z.n = '{r.name}' then z.v in ({', '.join(repr(a) for a in r.allowed)})" for r in quarantine.TALL_SCHEMA if r.kind == "enum")
+ORACLES["p1_found"] = f"""with h as (select source_sha256, {_CELLS.format(x="min(raw_record)")} as cells from hpt_csv_records where record_no = 3 group by 1),
+n as (select source_sha256, list_transform(cells, lambda x: regexp_replace(lower({_STRIP}), '\\s*\\|\\s*', '|', 'g')) as names from h),
+d as (select distinct source_sha256, record_no, coalesce(raw_record, '') as raw from hpt_csv_records where record_no > 3),
+q as (select *, regexp_full_match(raw, '{_CELL}(,{_CELL})*') as ok from d),
+c as (select q.source_sha256, record_no, ok, n.names, case when ok then {_CELLS.format(x="raw")} end as cells from q left join n using (source_sha256)),
+k as (select * from c where not ok or len(list_filter(cells, lambda x: {_STRIP} <> '')) > 0),
+u as (select *, case when ok and len(cells) = len(names) then list_transform(range(1, len(cells) + 1), lambda i: {{'n': names[i], 'v': lower(trim(cells[i], ' ' || chr(9) || chr(10) || chr(13)))}}) end as pairs from k)
+select source_sha256, record_no, case when not ok then 'broken_quoting' when names is null or len(cells) <> len(names) then 'column_count' else 'invalid_value' end as reason from u
+where not ok or names is null or len(cells) <> len(names) or len(list_filter(pairs, lambda z: z.v <> '' and not (case when z.n in ({_NUMERIC}) then regexp_full_match(z.v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)(e[+-]?[0-9]+)?') when z.n = 'count' then z.v in ('0', '1 through 10') or regexp_full_match(z.v, '0*(1[1-9]|[2-9][0-9]|[1-9][0-9][0-9]+)') {_ENUMS} else true end))) > 0""".replace("\\\\", "\\")
+
+ORACLES["p3_found"] = _SNAPS.replace("with f as", "with recursive f as") + f""", g as (select k.npi, f.seq, f.e, s.day, case when s.npi is not null then cast(row({', '.join('s.' + c for c in _ALL.split(', '))}) as varchar) end as v, case when s.deactivation_date is not null and (s.reactivation_date is null or s.reactivation_date < s.deactivation_date) then 'deactivated' else 'active' end as st
+from (select distinct npi from s where npi <> '') k cross join f left join s on s.npi = k.npi and s.seq = f.seq),
+w as (select npi, cast(0 as bigint) as seq, cast(null as date) as e, 'none' as held, cast(null as varchar) as v, cast(null as date) as latest, false as opens, cast('' as varchar) as status from (select distinct npi from g)
+union all select g.npi, g.seq, g.e, case when g.v is null then case when w.held = 'none' then 'none' else 'absent' end when coalesce(g.day < w.latest, false) then w.held else 'row' end, case when g.v is null or coalesce(g.day < w.latest, false) then w.v else g.v end, greatest(w.latest, g.day),
+case when g.v is null then w.held = 'row' when coalesce(g.day < w.latest, false) then false else w.held <> 'row' or w.v is distinct from g.v end, case when g.v is null then 'absent_from_full' else g.st end from w join g on g.npi = w.npi and g.seq = w.seq + 1)
+select npi, cast(row_number() over p as integer) as version, strftime(e, '%Y-%m-%d') as valid_from, coalesce(strftime(lead(e) over p, '%Y-%m-%d'), '') as valid_to, status from w where opens window p as (partition by npi order by seq)"""
+
+_ATTRS = ", ".join(f"nullif(trim({a}), '') as {a}" for a in cdc_store.ATTRIBUTES)
+_KEYS = ", ".join(cdc_store.ATTRIBUTES)
+ORACLES["p7_found"] = f"""with f as (select source_file, max(coverage_end) as e from file_log where outcome = 'applied' group by 1),
+b as (select npi, status = 'active' as live, last_update_date as since from provider_history where is_current),
+c as (select change_id, trim(npi) as npi, lower(trim(change_type)) as kind, last_update_date as day, e, line_no, {_ATTRS} from nppes_changes join f using (source_file)),
+o as (select * from c qualify row_number() over (partition by npi, kind, day, {_KEYS} order by e, line_no, change_id) = 1),
+r as (select o.*, b.live, case when kind in ('insert', 'reactivate') then true when kind = 'deactivate' then false end as turn from o left join b using (npi) where b.since is null or o.day >= b.since),
+s as (select *, live is not null or coalesce(bool_or(kind = 'insert') over p, false) as known, coalesce(last_value(turn ignore nulls) over p, live, false) as alive from r window p as (partition by npi order by day, e, line_no, change_id rows between unbounded preceding and 1 preceding)),
+t as (select *, row_number() over (partition by npi order by day, e, line_no, change_id) as n from s where kind = 'insert' or (known and case when kind in ('update', 'deactivate') then alive when kind = 'reactivate' then not alive else false end))
+select npi, case when arg_max(kind, n) = 'deactivate' then 'deactivated' else 'active' end as status, arg_max(change_id, n) as change_id, coalesce(arg_max(change_id, n) filter (where kind = 'insert' or (kind in ('update', 'reactivate') and practice_city is not null)), 0) as city_change_id from t group by npi"""
+
