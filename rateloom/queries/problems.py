@@ -156,3 +156,28 @@ s as (select *, live is not null or coalesce(bool_or(kind = 'insert') over p, fa
 t as (select *, row_number() over (partition by npi order by day, e, line_no, change_id) as n from s where kind = 'insert' or (known and case when kind in ('update', 'deactivate') then alive when kind = 'reactivate' then not alive else false end))
 select npi, case when arg_max(kind, n) = 'deactivate' then 'deactivated' else 'active' end as status, arg_max(change_id, n) as change_id, coalesce(arg_max(change_id, n) filter (where kind = 'insert' or (kind in ('update', 'reactivate') and practice_city is not null)), 0) as city_change_id from t group by npi"""
 
+
+ORACLES["p4_found"] = """with d as (select source_sha256, min(coalesce(try_strptime(trim(last_updated_on), '%Y-%m-%d'), try_strptime(trim(last_updated_on), '%m/%d/%Y'))) as dt from stg_hpt__files group by 1),
+o as (select hospital_id, source_sha256, row_number() over (partition by hospital_id order by dt, source_sha256) as seq from (select distinct hospital_id, source_sha256 from hpt_json_rows) join d using (source_sha256) where dt is not null),
+x as (select hospital_id, source_sha256, line_key, unnest(json_keys(row_json)) as k, row_json from hpt_json_rows),
+y as (select x.hospital_id, x.source_sha256, o.seq, line_key, regexp_replace(lower(trim(k)), '\\s*\\|\\s*', '|', 'g') as m, json_extract(row_json, '$."' || k || '"') as j from x join o using (hospital_id, source_sha256)),
+c as (select *, case json_type(j) when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'OBJECT' then 'object' when 'NULL' then null else 'number' end as t, case when json_type(j) in ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') then cast(cast(j as double) as varchar) else cast(j as varchar) end as v from y),
+n as (select hospital_id, seq, m, t, count(*) as n from c where t is not null group by all),
+p as (select u.hospital_id, u.seq, u.m, n.t from (select distinct hospital_id, seq, m from c) u left join (select * from n qualify row_number() over (partition by hospital_id, seq, m order by n desc, t) = 1) n using (hospital_id, seq, m)),
+e as (select coalesce(a.hospital_id, b.hospital_id) as hospital_id, coalesce(b.seq, a.seq + 1) as seq, coalesce(a.m, b.m) as m, case when b.m is null then 'removed' when a.m is null then 'added' else 'retyped' end as kind from p a full join p b on a.hospital_id = b.hospital_id and a.seq + 1 = b.seq and a.m = b.m where a.m is null or b.m is null or a.t <> b.t),
+e2 as (select e.*, o.source_sha256 from e join o using (hospital_id, seq) where seq > 1),
+l as (select distinct hospital_id, seq, line_key, m, t, v from c where t is not null),
+r as (select g.hospital_id, g.seq, g.source_sha256, g.m as a, w.m as b from e2 g join e2 w on g.hospital_id = w.hospital_id and g.seq = w.seq and g.kind = 'removed' and w.kind = 'added' join l p on p.hospital_id = g.hospital_id and p.seq = g.seq - 1 and p.m = g.m join l q on q.hospital_id = w.hospital_id and q.seq = w.seq and q.m = w.m and q.line_key = p.line_key group by all having 2 * count(*) filter (where p.t = q.t and p.v = q.v) >= count(*))
+select source_sha256, 'renamed' as kind, a as column_name, b as new_name from r
+union all select source_sha256, kind, m, '' from e2 where not exists (select 1 from r where r.source_sha256 = e2.source_sha256 and ((kind = 'removed' and r.a = m) or (kind = 'added' and r.b = m)))"""
+
+ORACLES["p6_found"] = """with v as (select record_id, record_kind, case when json_valid(body) then body end as body from nested_records),
+t as (select v.record_id, v.record_kind, j.key, j.type, j.atom, j.fullkey, j.path from v, json_tree(v.body) j where v.body is not null),
+z as (select record_id, path, json_extract_string(atom, '$') as rt from t where key = 'resourceType' and type = 'VARCHAR' and record_kind = 'fhir_bundle'),
+e as (select * from z where not (path = '$' and rt = 'Bundle')),
+i as (select record_id, path, json_extract_string(atom, '$') as id from t where key = 'id' and type = 'VARCHAR'),
+r as (select record_id, fullkey, json_extract_string(atom, '$') as item_value from t where key = 'reference' and type = 'VARCHAR' and record_kind = 'fhir_bundle'),
+w as (select r.record_id, r.fullkey, r.item_value, arg_max(e.path, length(e.path)) as owner_path from r left join e on e.record_id = r.record_id and starts_with(r.fullkey, e.path || '.') group by all)
+select w.record_id, coalesce(i.id, '') as owner, substr(w.fullkey, 3) as path, w.item_value from w left join i on i.record_id = w.record_id and i.path = w.owner_path
+union all select p.record_id, coalesce(c.code, '') as owner, substr(p.fullkey, 3), p.item_value from (select record_id, fullkey, json_extract_string(atom, '$') as item_value, regexp_replace(path, '\\.modifier_payer_information(\\[[0-9]+\\])*$', '') as at from t where record_kind = 'hpt_file' and key = 'payer_name' and type = 'VARCHAR' and regexp_full_match(path, '\\$\\.modifier_information(\\[[0-9]+\\])*\\.modifier_payer_information(\\[[0-9]+\\])*')) p
+left join (select record_id, path, json_extract_string(atom, '$') as code from t where key = 'code' and type <> 'NULL') c on c.record_id = p.record_id and c.path = p.at where p.item_value <> ''"""
