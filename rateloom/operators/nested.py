@@ -18,7 +18,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRIPLES = "path string, pattern string, ordinals array<int>, name string, value string, json_type string, parent string, entity string, entity_name string"
@@ -184,29 +184,32 @@ def table_of(triples: DataFrame, record: str, ancestor: str, members: list[str])
     return rows.select(record, "row_path", parent.alias("parent_path"), "ordinal", *members)
 
 
-def with_owner(items: DataFrame, owners: DataFrame, record: str, at: str) -> DataFrame:
-    """items with `owner`, the value that owners (record, owner_path, owner) has at the item's path `at`; '' without one."""
-    joined = items.join(owners.withColumnRenamed("owner_path", at), [record, at], "left")
-    return joined.withColumn("owner", F.coalesce("owner", F.lit("")))
+def with_owner(triples: DataFrame, record: str, at: str, is_owner: Column, is_item: Column) -> DataFrame:
+    """The items among triples with `owner`, the value of the owner triple at the same record and path `at`; '' without one.
+
+    One pass over the triples: a partition is one entity of one record.
+    """
+    mine = triples.where(is_owner | is_item).withColumn("_own", is_owner).withColumn("_item", is_item)
+    owner = F.max(F.when(F.col("_own"), F.col("value"))).over(Window.partitionBy(record, at))
+    return mine.withColumn("owner", F.coalesce(owner, F.lit(""))).where("_item")
 
 
 def references(records: DataFrame, record: str = "record_id", body: str = "body") -> DataFrame:
     """Every text member named `reference` of bundles, tied to the id of the nearest enclosing resource."""
     t = json_triples(records, record, body, ("reference", "id"), "resourceType", "Bundle")
-    refs = t.where((F.col("name") == "reference") & (F.col("json_type") == "string") & F.col("path").endswith("reference"))
     # a text in a list named reference is an element of the list, not the member itself
-    refs = refs.where(~F.col("path").endswith("]"))
-    owners = t.where((F.col("name") == "id") & F.col("entity").isNotNull() & (F.col("parent") == F.col("entity")) & (F.col("json_type") == "string") & ~F.col("path").endswith("]"))
-    owners = owners.groupBy(record, F.col("entity").alias("owner_path")).agg(F.max("value").alias("owner"))
+    text = (F.col("json_type") == "string") & ~F.col("path").endswith("]")
+    is_id = F.coalesce(text & (F.col("name") == "id") & (F.col("parent") == F.col("entity")), F.lit(False))
     # a resource at the root has the empty path; null stands for none
-    return with_owner(refs.withColumn("_at", F.col("entity")), owners, record, "_at").select(record, "owner", "path", F.col("value").alias("item_value"))
+    refs = with_owner(t, record, "entity", is_id, F.coalesce(text & (F.col("name") == "reference"), F.lit(False)))
+    return refs.select(record, "owner", "path", F.col("value").alias("item_value"))
 
 
 def modifier_payers(records: DataFrame, record: str = "record_id", body: str = "body") -> DataFrame:
     """Every non-empty payer_name of the payer entries of modifiers, tied to the modifier's code."""
     t = json_triples(records, record, body, ("payer_name", "code"))
-    payers = t.where(F.col("pattern").rlike(r"^modifier_information(\[\])*\.modifier_payer_information(\[\])*\.payer_name\z") & (F.col("json_type") == "string") & (F.col("value") != ""))
-    codes = t.where(F.col("pattern").rlike(r"^modifier_information(\[\])*\.code\z") & F.col("value").isNotNull())
-    owners = codes.groupBy(record, F.col("parent").alias("owner_path")).agg(F.max("value").alias("owner"))
-    at = F.regexp_replace("parent", r"\.modifier_payer_information(\[[0-9]+\])*$", "")
-    return with_owner(payers.withColumn("_at", at), owners, record, "_at").select(record, "owner", "path", F.col("value").alias("item_value"))
+    payer = F.col("pattern").rlike(r"^modifier_information(\[\])*\.modifier_payer_information(\[\])*\.payer_name\z") & (F.col("json_type") == "string") & (F.col("value") != "")
+    code = F.col("pattern").rlike(r"^modifier_information(\[\])*\.code\z") & F.col("value").isNotNull()
+    t = t.withColumn("_at", F.regexp_replace("parent", r"\.modifier_payer_information(\[[0-9]+\])*$", ""))
+    found = with_owner(t, record, "_at", F.coalesce(code, F.lit(False)), F.coalesce(payer, F.lit(False)))
+    return found.select(record, "owner", "path", F.col("value").alias("item_value"))
