@@ -55,15 +55,15 @@ def canonical_snapshots(rows: DataFrame, files: DataFrame, key: str = "npi", fil
     return best.groupBy(key, "seq").agg(F.max("_r").alias("_r"), F.max("coverage_end").alias("coverage_end")).select("seq", "coverage_end", key, "_r.*")
 
 
-def snapshot_changes(snapshots: DataFrame, key: str = "npi", fields: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
+def snapshot_changes(snapshots: DataFrame, files: DataFrame, key: str = "npi", fields: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
     """(seq, key, change_kind, changed_fields) between consecutive snapshots; seq is the later one.
 
-    snapshots has one row for each key and seq, seq counting 1, 2, 3 without gaps. Each row is
+    snapshots has one row for each key and seq; files (seq, coverage_end) counts 1, 2, 3 without gaps. Each row is
     unpivoted into key-field-value cells plus a marker of the key's presence, with sign +1 as part of
     the later and -1 as part of the earlier side of a pair. Equal cells cancel; what is left over
     classifies the row. All of it follows one repartitioning by key: no cell is shuffled.
     """
-    last = snapshots.agg(F.max("seq").alias("_last"))
+    last = files.agg(F.max("seq").alias("_last"))
     rows = snapshots.crossJoin(F.broadcast(last)).repartition(key)
     cells = F.array(F.struct(F.lit(_PRESENT).alias("field"), F.lit(None).cast("string").alias("value")), *[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
     sides = F.filter(F.array(F.struct(F.col("seq").alias("pair"), F.lit(1).alias("sign")), F.struct((F.col("seq") + 1).alias("pair"), F.lit(-1).alias("sign"))), lambda s: (s["pair"] > 1) & (s["pair"] <= F.col("_last")))
@@ -80,10 +80,10 @@ def status_of() -> Column:
     return F.when(gone.isNotNull() & (back.isNull() | (back < gone)), "deactivated").otherwise("active")
 
 
-def attribute_history(snapshots: DataFrame, key: str = "npi", updated: str = "last_update_date", fields: tuple[str, ...] = ATTRIBUTES, carry: tuple[str, ...] = ()) -> DataFrame:
+def attribute_history(snapshots: DataFrame, files: DataFrame, key: str = "npi", updated: str = "last_update_date", fields: tuple[str, ...] = ATTRIBUTES, carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, version, valid_from, valid_to, status, change_type, carry...): a version for each change event.
 
-    snapshots as of canonical_snapshots. A row older than one the key had in an earlier snapshot is
+    snapshots as of canonical_snapshots, files (seq, coverage_end) as of applied_files. A row older than one the key had in an earlier snapshot is
     stale: it stands for whatever was held before, a version or an absence. Consecutive snapshots are
     compared in one null-safe full outer join on key and pair; inserted, changed and deleted keys
     become events, and lead over a key's events gives valid_to (null while open). A key has at most one row
@@ -96,7 +96,7 @@ def attribute_history(snapshots: DataFrame, key: str = "npi", updated: str = "la
     rows = rows.withColumn("_run", F.sum(F.when(F.col("seq") == F.lag("seq").over(by_key) + 1, 0).otherwise(1)).over(by_key))
     fresh = F.last(F.when(~F.col("_stale"), F.col("_held")), ignorenulls=True).over(Window.partitionBy(key, "_run").orderBy("seq"))
     rows = rows.withColumn("_held", fresh).where(F.col("_held").isNotNull()).select(key, "seq", "_held")
-    ends = snapshots.groupBy("seq").agg(F.max("coverage_end").alias("valid_from"))
+    ends = files.select("seq", F.col("coverage_end").alias("valid_from"))
     before = rows.select(F.col(key).alias("_k1"), (F.col("seq") + 1).alias("_p1"), F.col("_held").alias("_old"))
     after = rows.select(F.col(key).alias("_k2"), F.col("seq").alias("_p2"), F.col("_held").alias("_new"))
     both = before.join(after, F.col("_k1").eqNullSafe(F.col("_k2")) & F.col("_p1").eqNullSafe(F.col("_p2")), "full")

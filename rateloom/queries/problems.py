@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold
 from ..operators import cdc_store, drift, nested, quantiles, quarantine, snapshots
-from ..plans.materialize import scratch_path
+from ..plans.materialize import materialize, scratch_path
+from ..plans.skew import small_join
 from ..session import table
 
 
@@ -23,26 +24,27 @@ def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
 
 def _snapshots(spark: SparkSession, d: str):
     rows = table(spark, d, "nppes_full")
-    files = snapshots.applied_files(table(spark, d, "file_log"), rows)
+    # a few rows from a scan of one column, used several times
+    files = materialize(snapshots.applied_files(table(spark, d, "file_log"), rows), "files")
     return snapshots.canonical_snapshots(rows, files), files
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     snaps, files = _snapshots(spark, d)
-    found = snapshots.snapshot_changes(snaps)
-    return found.join(F.broadcast(files.select("seq", "source_file").limit(10_000)), "seq").select("source_file", "npi", "change_kind")
+    found = snapshots.snapshot_changes(snaps, files)
+    return small_join(found, files.select("seq", "source_file"), ["seq"]).select("source_file", "npi", "change_kind")
 
 
 def p2_changed_fields(spark: SparkSession, d: str) -> DataFrame:
     """How often each attribute changed from one snapshot to the next."""
-    snaps, _ = _snapshots(spark, d)
-    found = snapshots.snapshot_changes(snaps)
+    snaps, files = _snapshots(spark, d)
+    found = snapshots.snapshot_changes(snaps, files)
     return found.select("seq", F.explode("changed_fields").alias("field")).groupBy("seq", "field").agg(F.count(F.lit(1)).alias("changed"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    snaps, _ = _snapshots(spark, d)
-    h = snapshots.attribute_history(snaps)
+    snaps, files = _snapshots(spark, d)
+    h = snapshots.attribute_history(snaps, files)
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     return h.select("npi", "version", day("valid_from").alias("valid_from"), F.coalesce(day("valid_to"), F.lit("")).alias("valid_to"), "status")
 

@@ -136,8 +136,8 @@ def both(spark, rows):
     files = snapshots.applied_files(log, df)
     snaps = snapshots.canonical_snapshots(df, files)
     names = {r["seq"]: r["source_file"] for r in files.collect()}
-    changes = {(names[r["seq"]], r["npi"], r["change_kind"]) for r in snapshots.snapshot_changes(snaps).collect()}
-    hist = {(r["npi"], r["version"], r["valid_from"].isoformat(), r["valid_to"].isoformat() if r["valid_to"] else "", r["status"]) for r in snapshots.attribute_history(snaps).collect()}
+    changes = {(names[r["seq"]], r["npi"], r["change_kind"]) for r in snapshots.snapshot_changes(snaps, files).collect()}
+    hist = {(r["npi"], r["version"], r["valid_from"].isoformat(), r["valid_to"].isoformat() if r["valid_to"] else "", r["status"]) for r in snapshots.attribute_history(snaps, files).collect()}
     a, b = plain(df), plain(log)
     assert changes == brute.p2(a, b)
     assert hist == brute.p3(a, b)
@@ -166,7 +166,8 @@ def test_snapshots_of_random_rows(spark):
 
 def test_changed_fields_are_named(spark):
     df, log = snapshot_tables(spark, [(1, "1", "A", None, None, None, ["x"]), (2, "1", "B", None, None, None, ["y"])])
-    r = snapshots.snapshot_changes(snapshots.canonical_snapshots(df, snapshots.applied_files(log, df))).first()
+    files = snapshots.applied_files(log, df)
+    r = snapshots.snapshot_changes(snapshots.canonical_snapshots(df, files), files).first()
     assert r["changed_fields"] == ["practice_city", "taxonomy_codes"]
 
 
