@@ -53,12 +53,14 @@ def norm_header(col: Column) -> Column:
     return F.regexp_replace(F.lower(strip(col)), r"(?<!\s)\s*+\|\s*+", "|")
 
 
+# Words that a name is compared without.
+FILLER_WORDS = ("THE", "OF", "AND", "INC", "LLC")
+
+
 def norm_name(col: Column) -> Column:
     """Upper case, '&' as AND, other signs as blanks, filler words dropped, blanks collapsed."""
-    v = F.regexp_replace(F.upper(col), "&", " AND ")
-    v = F.regexp_replace(v, "[^A-Z0-9]+", " ")
-    v = F.regexp_replace(v, r"\b(THE|OF|AND|INC|LLC)\b", " ")
-    return F.trim(F.regexp_replace(v, " +", " "))
+    plain = F.regexp_replace(F.replace(F.upper(col), F.lit("&"), F.lit(" AND ")), "[^A-Z0-9]+", " ")
+    return F.array_join(F.filter(F.split(plain, " "), lambda w: ~w.isin("", *FILLER_WORDS)), " ")
 
 
 def addr_tokens(col: Column) -> Column:

@@ -340,7 +340,7 @@ def union_problems(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- functions
 
 
-_NAME = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(s), '&', ' AND ', 'g'), '[^A-Z0-9 ]', ' ', 'g'), '\b(THE|OF|AND|INC|LLC)\b', ' ', 'g'), ' +', ' ', 'g'))"
+_NAME = "array_to_string(list_filter(string_split(regexp_replace(replace(upper(s), '&', ' AND '), '[^A-Z0-9]+', ' ', 'g'), ' '), lambda w: w not in ('', 'THE', 'OF', 'AND', 'INC', 'LLC')), ' ')"
 
 
 @query(f"select npi, version, {_NAME} as name from (select npi, version, org_name as s from provider_history where regexp_full_match(org_name, '[ -~]*'))")
@@ -359,11 +359,9 @@ def address_keys(t: Tables) -> DataFrame:
     return f.select("source_sha256", "address", zip5.alias("zip5"), F.array_join(T.addr_tokens(F.col("address")), " ").alias("tokens"), T.addr_key(F.col("address"), zip5).alias("addr_key"))
 
 
-_DIGIT = "cast(substr(reverse('80840' || npi), i, 1) as integer)"
-
-
-@query(f"""with n as (select distinct unnest(type_2_npis) as npi from stg_hpt__files)
-select npi, regexp_full_match(npi, '[0-9]{{10}}') as format_ok, case when regexp_full_match(npi, '[0-9]{{10}}') then list_sum(list_transform(range(1, 16), lambda i: case when i % 2 = 0 then 2 * {_DIGIT} - case when 2 * {_DIGIT} > 9 then 9 else 0 end else {_DIGIT} end)) % 10 = 0 else false end as check_ok from n where npi is not null""")
+@query("""with n as (select distinct unnest(type_2_npis) as npi from stg_hpt__files), d as (select npi, unnest(string_split('80840' || npi, '')) as c, unnest(range(15, 0, -1)) as place from n where regexp_full_match(npi, '[0-9]{10}')),
+s as (select npi, sum(case when place % 2 = 1 then c::int else (2 * c::int) // 10 + (2 * c::int) % 10 end) % 10 = 0 as good from d group by npi)
+select n.npi, regexp_full_match(n.npi, '[0-9]{10}') as format_ok, coalesce(s.good, false) as check_ok from n left join s on s.npi = n.npi where n.npi is not null""")
 def identifier_checks(t: Tables) -> DataFrame:
     n = t.stg_hpt__files.select(F.explode("type_2_npis").alias("npi")).where("npi is not null").distinct()
     return n.select("npi", T.npi_format_ok(F.col("npi")).alias("format_ok"), T.npi_luhn_ok(F.col("npi")).alias("check_ok"))
