@@ -136,16 +136,17 @@ def net_effects(ordered: DataFrame, base: DataFrame, key: str = "npi", attribute
     and sets all; update sets its non-null ones if live; deactivate ends life if live; reactivate
     makes a known, not live key live and sets its non-null ones.
     """
-    rows = ordered.join(base.select(key, F.col("live").alias("_live"), F.col("since").alias("_since")), key, "left")
-    rows = rows.where(F.col("_since").isNull() | (F.col("day") >= F.col("_since")))
-    rows = rows.withColumn("_chunk", F.struct(F.col("_at.last_update_date").alias("d"), F.col("_at.coverage_end").alias("e"), F.floor(F.col("_at.line_no") / CHUNK_LINES).alias("b")))
+    rows = ordered.withColumn("_chunk", F.struct(F.col("_at.last_update_date").alias("d"), F.col("_at.coverage_end").alias("e"), F.floor(F.col("_at.line_no") / CHUNK_LINES).alias("b")))
     turn = F.when(F.col("change_type").isin("insert", "reactivate"), True).when(F.col("change_type") == "deactivate", False)
     rows = rows.withColumn("_turn", turn).withColumn("_new", F.col("change_type") == "insert")
-    # what a chunk does: does it make the key known, and how does it leave a known one
-    chunks = rows.groupBy(key, "_chunk").agg(F.max("_live").alias("_live"), F.max("_new").alias("_c_new"), F.max_by("_turn", F.when(F.col("_turn").isNotNull(), F.col("_at"))).alias("_c_turn"))
+    # what a chunk does: does it make the key known, and how does it leave a known one; a chunk has one date,
+    # so the base is met by chunks, and the rows of a key never come together
+    chunks = rows.groupBy(key, "_chunk").agg(F.max("_new").alias("_c_new"), F.max_by("_turn", F.when(F.col("_turn").isNotNull(), F.col("_at"))).alias("_c_turn"))
+    chunks = chunks.join(base.select(key, F.col("live").alias("_live"), F.col("since").alias("_since")), key, "left")
+    chunks = chunks.where(F.col("_since").isNull() | (F.col("_chunk.d") >= F.col("_since")))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_known0", F.col("_live").isNotNull() | F.coalesce(F.max("_c_new").over(before), F.lit(False))).withColumn("_live0", F.coalesce(F.last("_c_turn", True).over(before), F.col("_live"), F.lit(False)))
-    rows = rows.drop("_live").join(chunks.select(key, "_chunk", "_known0", "_live0"), [key, "_chunk"])
+    rows = rows.join(chunks.select(key, "_chunk", "_known0", "_live0"), [key, "_chunk"])
     within = Window.partitionBy(key, "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     known = F.col("_known0") | F.coalesce(F.max("_new").over(within), F.lit(False))
     rows = rows.withColumn("_known", known).withColumn("_alive", F.coalesce(F.last("_turn", True).over(within), F.col("_live0")) & F.col("_known"))
