@@ -8,7 +8,6 @@ column pruning, which an RDD checkpoint is not.
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -32,8 +31,27 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN[app]
 
 
+_CLEAN: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/rateloom/{label}-{uuid.uuid4().hex}"
+    """A path of this application's own in the shared folder; what is there is dropped when Python ends."""
+    root = f"{shared_dir(spark)}/rateloom-{spark.sparkContext.applicationId}"
+    if root not in _CLEAN:
+        _CLEAN.add(root)
+        atexit.register(_drop, spark, root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def _drop(spark: SparkSession, root: str) -> None:
+    if root.startswith(("/", "file:")):
+        shutil.rmtree(local_path(root), ignore_errors=True)
+        return
+    try:
+        fs, path = hadoop_fs(spark, root)
+        fs.delete(path, True)
+    except Exception:  # the JVM may have gone first
+        pass
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -81,13 +99,4 @@ def write_text_atomic(spark: SparkSession, path: str, text: str, overwrite: bool
 
 
 def local_path(path: str) -> str:
-    return path[len("file://"):] if path.startswith("file://") else path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = hadoop_fs(spark, path)
-    return bool(fs.exists(jpath))
-
-
-def ensure_parent(path: str) -> None:
-    os.makedirs(os.path.dirname(local_path(path)), exist_ok=True)
+    return "/" + path.split(":", 1)[1].lstrip("/") if path.startswith("file:") else path
