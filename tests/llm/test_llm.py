@@ -197,6 +197,23 @@ def test_levels_rise_with_difficulty_and_lose_nothing(spark):
     assert off < 1.0
 
 
+def test_copies_and_noisy_labels_hide_no_demanding_document(spark, tmp_path):
+    rnd = random.Random(7)
+    hard = " ".join(["institutional reconciliation procedures necessitate comprehensive documentation"] * 8) + "."
+    other = " ".join(["administrative considerations notwithstanding participating organisations"] * 8) + "."
+    easy = lambda: ". ".join(" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 5))) for _ in range(6)) for _ in range(8)) + "."
+    texts = [hard if i % 3 == 0 else other if i == 1 else easy() for i in range(150)]
+    docs = spark.createDataFrame([(i, t, "a.txt") for i, t in enumerate(texts)], "doc_id long, text string, path string")
+    labels = spark.createDataFrame([(i, rnd.choice((1, 5)) if i % 10 == 0 else 5 if i % 3 == 0 or i == 1 else 1) for i in range(60)], "doc_id long, level int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/reading_labels.parquet")
+    assert reading.reading_levels(docs, labels).where((F.col("doc_id") % 3 == 0) & (F.col("level") < queries.DEMANDING)).count() == 50
+    want = {i for i in range(150) if i % 3 == 0 or i == 1}
+    assert {r["doc_id"] for r in queries.p10_found(spark, str(tmp_path)).collect()} == want
+    labels.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/reading_labels.parquet")
+    assert {r["doc_id"] for r in queries.p10_found(spark, str(tmp_path)).collect()} == want
+
+
 def test_odd_documents_have_no_level(spark):
     docs = spark.createDataFrame([(1, None, "a.py"), (2, "", None), (3, "x = 1", "a.py"), (4, "Plain words stand here for once.", "a.txt"), (4, "Plain words stand here for once.", "a.txt"), (5, "漢字 ß퟿", "b.md"), (6, "word " * 200_000, "c.txt"), (None, "Words.", "d.txt")], "doc_id long, text string, path string").withColumn("level", F.lit(9))
     labels = spark.createDataFrame([(4, 2), (6, 4), (1, None), (99, 1)], "doc_id long, level int")
