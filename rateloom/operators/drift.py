@@ -7,8 +7,8 @@ equality of types and the share of equal values on lines of equal key, and are p
 edges until they converge; a one-to-one choice of gone and new columns gives the correspondences. An
 exact check on the values decides. Then all lines are read into one table under the latest names.
 
-Defined results: undated files have no place in the order and are compared with none; files of one
-day go by their hash. Lines that are no JSON object have no members. A member that is only null has
+Defined results: undated files have no place in the order and are compared with none, but their lines are in the
+table; files of one day go by their hash. Lines that are no JSON object have no members. A member that is only null has
 no type and is never retyped. A tie of types goes to the alphabetically first.
 """
 
@@ -215,18 +215,23 @@ def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame) -> D
     """(hospital_id, source_sha256, line_no, line_key, column_name, column_type, value): all lines in one table.
 
     Every member goes under the name it has in the hospital's latest file and is cast to the type it
-    has there (text where it cannot be); renames are followed through all later files.
+    has there (text where it cannot be); renames are followed through all later files. A file without a place
+    in the order (undated, unlisted or without hospital) stands alone: its lines are kept under their own names,
+    cast to the types of that file.
     """
     order = file_order(files, rows)
     ren = changes.where("kind = 'renamed'").groupBy("hospital_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("column_name").alias("a"), F.col("new_name").alias("b")))).alias("_renames"))
     placed = order.join(ren, "hospital_id", "left").select("source_sha256", "hospital_id", "seq", "_renames")
-    lines = salted_join(rows.select("source_sha256", "line_no", "line_key", "row_json"), placed, ["source_sha256"], F.col("line_no"))
+    lines = salted_join(rows.select("hospital_id", "source_sha256", "line_no", "line_key", "row_json"), placed, ["source_sha256", "hospital_id"], F.col("line_no"), "left")
     cells = members(lines, ["hospital_id", "source_sha256", "seq", "line_no", "line_key", "_renames"])
     name = F.aggregate(F.filter("_renames", lambda r: r["seq"] > F.col("seq")), F.col("member"), lambda acc, r: F.when(acc == r["a"], r["b"]).otherwise(acc))
     cells = cells.withColumn("column_name", F.when(F.col("_renames").isNull(), F.col("member")).otherwise(name)).drop("_renames")
-    kinds = cells.where("json_type is not null").groupBy("hospital_id", "column_name", "seq").agg(F.mode("json_type", True).alias("t")).groupBy("hospital_id", "column_name").agg(F.max_by("t", "seq").alias("column_type"))
+    # what shares its types: a hospital's placed files, or one unplaced file
+    cells = cells.withColumn("_alone", F.when(F.col("seq").isNull(), F.coalesce("source_sha256", F.lit(""))))
+    kinds = cells.where("json_type is not null").groupBy("hospital_id", "_alone", "column_name", "seq").agg(F.mode("json_type", True).alias("t")).groupBy("hospital_id", "_alone", "column_name").agg(F.max_by("t", F.coalesce("seq", F.lit(0))).alias("column_type"))
+    kinds = kinds.select(F.col("hospital_id").alias("_h"), F.col("_alone").alias("_a"), F.col("column_name").alias("_c"), "column_type")
     plain = F.regexp_replace("value", "^[a-z]+:", "")
     text = F.when(F.col("json_type") == "string", F.get_json_object(F.concat(F.lit('{"v":'), plain, F.lit("}")), "$.v")).otherwise(plain)
-    typed = cells.join(kinds, ["hospital_id", "column_name"], "left")
+    typed = cells.join(kinds, F.col("hospital_id").eqNullSafe(F.col("_h")) & F.col("_alone").eqNullSafe(F.col("_a")) & (F.col("column_name") == F.col("_c")), "left")
     value = F.when(F.col("column_type") == "number", text.try_cast("double").cast("string")).when(F.col("column_type") == "boolean", text.try_cast("boolean").cast("string"))
     return typed.select("hospital_id", "source_sha256", "line_no", "line_key", "column_name", "column_type", F.coalesce(value, text).alias("value"))

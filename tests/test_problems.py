@@ -219,6 +219,18 @@ def test_lines_in_one_table(spark, rows):
     assert rows(t.where("source_sha256 = 's0'"), "column_name", "column_type", "value") == [("last", "number", "5.0"), ("last", "number", "6.0"), ("x", "number", "1.0")] or rows(t.where("source_sha256 = 's0'"), "column_name") == [("mid",), ("mid",), ("x",)]
 
 
+def test_lines_of_unplaced_files_are_in_the_table(spark, rows):
+    data, listed = schema_tables(spark, [['{"old": 5}', '{"old": 6}'], ['{"last": 5}', '{"last": 6}']])
+    more = [("h", "undated", 0, "0", '{"OLD | x": "7", "old": "8"}'), ("h", "undated", 1, "1", "no json"), ("h", "unlisted", 0, "0", '{"last": "9"}'), (None, "s9", 0, "0", '{"last": true}'), (None, None, 0, "0", '{"a": 1}'), ("g", "s0", 0, "0", '{"old": "1"}')]
+    data = data.unionByName(spark.createDataFrame(more, LINES))
+    listed = listed.unionByName(spark.createDataFrame([("undated", None), ("s9", "2024-03-01")], listed.schema))
+    t = drift.consistent_table(data, listed, drift.schema_changes(data, listed))
+    want = [("h", "s0", 0, "last", "number", "5.0"), ("h", "s0", 1, "last", "number", "6.0"), ("h", "s1", 0, "last", "number", "5.0"), ("h", "s1", 1, "last", "number", "6.0"), ("h", "undated", 0, "old|x", "string", "7"), ("h", "undated", 0, "old", "string", "8")]
+    # a line that is no JSON object has no members
+    want += [("h", "unlisted", 0, "last", "string", "9"), (None, "s9", 0, "last", "boolean", "true"), (None, None, 0, "a", "number", "1.0"), ("g", "s0", 0, "old", "string", "1")]
+    assert rows(t, "hospital_id", "source_sha256", "line_no", "column_name", "column_type", "value") == sorted(want, key=repr)
+
+
 # ---------------------------------------------------------------- 5
 
 
