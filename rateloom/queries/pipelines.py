@@ -9,9 +9,10 @@ from .. import analysis, gates
 from ..functions.text import clean, us_date
 from ..marts import clinical as clinical_marts
 from ..marts import identity, prices
-from ..operators import clinical, nested
+from ..operators import clinical, nested, snapshots
 from ..operators import relational as R
 from ..plans.materialize import materialize
+from ..plans.skew import small_join
 from ..sources.bundles import bundle_entries
 from .registry import Registry, Tables
 
@@ -59,6 +60,22 @@ def cdc_classify(t: Tables) -> DataFrame:
     return j.select("npi", kind.alias("change_type")).unionByName(a.join(b, "npi", "left_anti").select("npi", F.lit("absent_from_full").alias("change_type")))
 
 
+_ALL_PAIRS = _STAGED + """, f as (select source_file, row_number() over (order by max(coverage_end), source_file) as seq from file_log where outcome = 'applied' and source_file in (select source_file from nppes_full) group by 1), d as (select s.*, f.seq, off is not null and (back is null or back < off) as gone from s join f using (source_file) qualify row_number() over (partition by source_file, npi order by effective_date desc nulls last, row_hash) = 1)"""
+
+
+@query(_ALL_PAIRS + """ select b.source_file, b.npi, case when a.seq is null then 'insert' when b.effective_date < a.effective_date then 'stale' when b.row_hash = a.row_hash then 'unchanged' when b.gone and not a.gone then 'deactivate' when not b.gone and a.gone then 'reactivate' else 'update' end as change_type from d b left join d a on a.npi = b.npi and a.seq + 1 = b.seq where b.seq > 1
+union all select f.source_file, a.npi, 'absent_from_full' from d a join f on f.seq = a.seq + 1 where not exists (select 1 from d b where b.npi = a.npi and b.seq = a.seq + 1)""")
+def cdc_classify_all(t: Tables) -> DataFrame:
+    """Changes of every applied full file against the one before by coverage_end, absences included; source_file is the later one."""
+    files = materialize(snapshots.applied_files(t.file_log, t.nppes_full), "files").select("source_file", "seq")
+    d = R.first_by(_staged(t), ["source_file", "npi"], [F.desc_nulls_last("effective_date"), F.asc("row_hash")])
+    d = small_join(d.withColumn("gone", F.col("off").isNotNull() & (F.col("back").isNull() | (F.col("back") < F.col("off")))), files, ["source_file"])
+    a = d.select("npi", (F.col("seq") + 1).alias("seq"), F.col("effective_date").alias("c_date"), F.col("row_hash").alias("c_hash"), F.col("gone").alias("c_gone"), F.lit(True).alias("held"))
+    b = d.select("npi", "seq", "effective_date", "row_hash", "gone", F.lit(True).alias("given"))
+    kind = F.when(F.col("given").isNull(), "absent_from_full").when(F.col("held").isNull(), "insert").when(F.col("effective_date") < F.col("c_date"), "stale").when(F.col("row_hash") == F.col("c_hash"), "unchanged").when(F.col("gone") & ~F.col("c_gone"), "deactivate").when(~F.col("gone") & F.col("c_gone"), "reactivate").otherwise("update")
+    return small_join(b.join(a, ["npi", "seq"], "full"), files.where("seq > 1"), ["seq"]).select("source_file", "npi", kind.alias("change_type"))
+
+
 @query("select w.source_file, w.coverage_end, w.coverage_end <= (select max(f.coverage_end) from file_log f where f.kind = 'full' and f.outcome = 'applied' and f.seq < w.seq) as superseded from file_log w where w.kind = 'weekly'")
 def superseded_files(t: Tables) -> DataFrame:
     """Weekly files that an earlier applied full file covers."""
