@@ -106,6 +106,23 @@ def header_vs_lines(t: Tables) -> DataFrame:
     return R.reconcile(head, lines, ["orderkey"], ["v"])
 
 
+@query("""with h as (select o_orderkey, round(o_totalprice, 2) as v from orders), l as (select l_orderkey, round(sum(l_extendedprice), 2) as v from lineitem group by 1)
+select coalesce(o_orderkey, l_orderkey) as orderkey, h.v as v_a, l.v as v_b, case when l_orderkey is null then 'left_only' when o_orderkey is null then 'right_only' else 'differs' end as problem from h full join l on o_orderkey = l_orderkey where l_orderkey is null or o_orderkey is null or abs(h.v - l.v) > 0.005""")
+def header_vs_lines_all(t: Tables) -> DataFrame:
+    """All orders against all lines."""
+    head = t.orders.select(F.col("o_orderkey").alias("orderkey"), F.round("o_totalprice", 2).alias("v"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
+    return R.reconcile(head, lines, ["orderkey"], ["v"])
+
+
+@query("select h.npi, h.version, f.seq from provider_history h left join file_log f on h.source_file = 'registry_weekly_' || strftime(f.coverage_start, '%Y%m%d') || '-' || strftime(f.coverage_end, '%Y%m%d') || '.zip'")
+def join_computed_key_all(t: Tables) -> DataFrame:
+    """The history against the whole file_log; a version meets each log entry of its file."""
+    day = lambda c: F.date_format(c, "yyyyMMdd")
+    log = t.file_log.select("seq", F.concat(F.lit("registry_weekly_"), day("coverage_start"), F.lit("-"), day("coverage_end"), F.lit(".zip")).alias("_file"))
+    return t.provider_history.join(log, F.col("source_file") == F.col("_file"), "left").select("npi", "version", "seq")
+
+
 @query("select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_totalprice > 100000)")
 def semi_join(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_totalprice > 100000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_name")
