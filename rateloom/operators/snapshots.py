@@ -16,8 +16,6 @@ from ..plans.skew import small_join
 ATTRIBUTES = ("entity_type", "org_name", "last_name", "first_name", "credential", "practice_address_1", "practice_city", "practice_state", "practice_postal", "enumeration_date", "deactivation_date", "reactivation_date", "primary_taxonomy", "taxonomy_codes")
 DATES = ("enumeration_date", "deactivation_date", "reactivation_date")
 LISTS = ("taxonomy_codes",)
-#: Stands for a missing update date, which is the earliest.
-EARLIEST = "0001-01-01"
 _PRESENT = "\x00present"
 
 
@@ -45,13 +43,12 @@ def canonical_field(name: str) -> Column:
 def canonical_snapshots(rows: DataFrame, files: DataFrame, key: str = "npi", file: str = "source_file", updated: str = "last_update_date", fields: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
     """(seq, coverage_end, key, updated, fields...): of several rows of a key in a snapshot the latest.
 
-    A blank update date is the earliest; rows tied on it say the same, else the greatest row counts,
-    so the result is defined. Rows without a key are dropped. The choice is an aggregate with partial
+    A blank update date is null, which is the earliest; rows tied on it say the same, else the greatest row
+    counts, so the result is defined. Rows without a key are dropped. The choice is an aggregate with partial
     aggregation, so a key with very many rows in a snapshot is reduced before the shuffle.
     """
     placed = small_join(rows.select(file, key, updated, *fields), files, [file])
-    day = F.coalesce(us_date(F.col(updated)), F.lit(EARLIEST).cast("date"))
-    best = placed.select("seq", "coverage_end", clean(F.col(key)).alias(key), F.struct(day.alias(updated), *[canonical_field(f).alias(f) for f in fields]).alias("_r")).where(F.col(key).isNotNull())
+    best = placed.select("seq", "coverage_end", clean(F.col(key)).alias(key), F.struct(us_date(F.col(updated)).alias(updated), *[canonical_field(f).alias(f) for f in fields]).alias("_r")).where(F.col(key).isNotNull())
     return best.groupBy(key, "seq").agg(F.max("_r").alias("_r"), F.max("coverage_end").alias("coverage_end")).select("seq", "coverage_end", key, "_r.*")
 
 
@@ -84,7 +81,7 @@ def attribute_history(snapshots: DataFrame, files: DataFrame, key: str = "npi",
     """(key, version, valid_from, valid_to, status, change_type, carry...): a version for each change event.
 
     snapshots as of canonical_snapshots, files (seq, coverage_end) as of applied_files. A row older than one the key had in an earlier snapshot is
-    stale: it stands for whatever was held before, a version or an absence. Consecutive snapshots are
+    stale: it stands for whatever was held before, a version or an absence. A row without a date is older than none. Consecutive snapshots are
     compared in one null-safe full outer join on key and pair; inserted, changed and deleted keys
     become events, and lead over a key's events gives valid_to (null while open). A key has at most one row
     a snapshot, so no window grows beyond the number of snapshots.

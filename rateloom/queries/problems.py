@@ -114,8 +114,8 @@ _FIELDS = ["entity_type", "org_name", "last_name", "first_name", "credential", "
 _ROW = ", ".join([*[f"nullif(trim({c}), '') as {c}" for c in _FIELDS], *[f"{_DAY.format(c=c)} as {c}" for c in ("enumeration_date", "deactivation_date", "reactivation_date")], "nullif(trim(primary_taxonomy), '') as primary_taxonomy", "array_to_string(list_filter(list_transform(taxonomy_codes, lambda x: trim(x)), lambda x: x <> ''), chr(1)) as codes"])
 _ALL = ", ".join([*_FIELDS, "enumeration_date", "deactivation_date", "reactivation_date", "primary_taxonomy", "codes"])
 _SNAPS = f"""with f as (select source_file, max(coverage_end) as e, row_number() over (order by max(coverage_end)) as seq from file_log where outcome = 'applied' and source_file in (select source_file from nppes_full) group by 1),
-r as (select f.seq, f.e, f.source_file, trim(n.npi) as npi, coalesce({_DAY.format(c='n.last_update_date')}, date '0001-01-01') as day, {_ROW.replace('nullif(trim(', 'nullif(trim(n.').replace('trim(enum', 'trim(n.enum').replace('trim(deact', 'trim(n.deact').replace('trim(react', 'trim(n.react').replace('taxonomy_codes', 'n.taxonomy_codes')} from nppes_full n join f on f.source_file = n.source_file),
-s as (select * from r qualify row_number() over (partition by seq, npi order by day desc) = 1)"""
+r as (select f.seq, f.e, f.source_file, trim(n.npi) as npi, {_DAY.format(c='n.last_update_date')} as day, {_ROW.replace('nullif(trim(', 'nullif(trim(n.').replace('trim(enum', 'trim(n.enum').replace('trim(deact', 'trim(n.deact').replace('trim(react', 'trim(n.react').replace('taxonomy_codes', 'n.taxonomy_codes')} from nppes_full n join f on f.source_file = n.source_file),
+s as (select * from r qualify row_number() over (partition by seq, npi order by day desc nulls last) = 1)"""
 
 ORACLES = {
     "p2_found": _SNAPS + f"""select f.source_file, coalesce(a.npi, b.npi) as npi, case when a.npi is null then 'added' when b.npi is null then 'removed' else 'changed' end as change_kind

@@ -147,9 +147,11 @@ def p3(rows, log):
                     held = "absent"
                 continue
             day, val = best[f][k]
-            if latest is not None and day < latest:
-                continue
-            latest = day if latest is None else max(latest, day)
+            # a row without a date is older than none
+            if day != dt.date.min:
+                if latest is not None and day < latest:
+                    continue
+                latest = day
             if held == "absent" or held is None or held != val:
                 gone, back = val[10], val[11]
                 versions.append((end, "deactivated" if gone and not (back and back >= gone) else "active"))

@@ -164,6 +164,11 @@ def test_snapshots_of_random_rows(spark):
     both(spark, rows)
 
 
+def test_a_row_without_a_date_is_never_stale(spark):
+    _, hist = both(spark, [(1, "1", "A", "1/1/2024", None, None, None), (2, "1", "B", None, None, None, None), (3, "1", "C", "2/1/2024", None, None, None), (4, "1", "D", "1/15/2024", None, None, None)])
+    assert sorted(h[1:4] for h in hist) == [(1, "2025-01-01", "2025-02-01"), (2, "2025-02-01", "2025-03-01"), (3, "2025-03-01", "")]
+
+
 def test_changed_fields_are_named(spark):
     df, log = snapshot_tables(spark, [(1, "1", "A", None, None, None, ["x"]), (2, "1", "B", None, None, None, ["y"])])
     files = snapshots.applied_files(log, df)
