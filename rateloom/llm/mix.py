@@ -5,51 +5,65 @@ number of tokens and no document exceeds its source's repeats: minimise sum w lo
 sum over a source of w * t = target and w <= cap. In the dual each source has one multiplier, w =
 min(cap, exp(lambda * t / mean)), and the convex dual is solved by Newton iterations. Each iteration
 aggregates gradient and curvature over all documents, which are reduced to counts of token lengths
-first; a rate depends on nothing but source and length, so this is exact. Rates are then rounded to
-copies by a hash of the document, which keeps the expected tokens.
+first; a rate depends on nothing but source and length, so this is exact. The multipliers are a table
+of one row a source, stepped by column expressions; none of it passes through the driver. Rates are then
+rounded to copies by a hash of the document, which keeps the expected tokens.
 
 A source that cannot reach its target even with every document at its cap has no finite multiplier: the
-solver saturates, all its documents get the cap, and it is reported as infeasible.
+iterations drive its rates up to the cap, and it ends saturated, short of its target. That end state is
+what makes it infeasible.
 
 Defined results: documents of a source without target keep rate 0 but count in the total; so do those
 without source. Null and empty texts have no tokens. With targets missing or null share, a source's
-target is 0. Repeats below 0 or null count as 0.
+target is 0. Repeats below 0 or null count as 0. A target listed twice counts once, with its largest values.
 """
 
 from __future__ import annotations
 
 import base64
+import functools
 import os
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize
-from ..plans.skew import small_join
+from ..plans.skew import BROADCAST_ROWS, hot_keys, salted_join, small_join
 
 #: Folder of the public tokenizers' files and the vocabulary used; a parameter of every operator here.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Newton iterations at most, and the relative error of a source's tokens at which they end.
-ROUNDS, TOLERANCE = 60, 1e-6
-#: Sources at most; targets are a stated table of one row a source.
-MOST_SOURCES = 100_000
+#: Relative error of a source's tokens at which its iterations end, and rounds after which one that is still open is
+#: reported as not converged; a bracket halves or triples in every round, so none gets there.
+TOLERANCE, ROUNDS = 1e-6, 200
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str):
+    """The tokenizer of a vocabulary file, read once a worker."""
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("counts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def token_counts(documents: DataFrame, text: str = "text", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
-    """documents with `tokens` in place of the text; the text is read by the tokenizer's workers and goes no further."""
+    """documents with `tokens` in place of the text; the text is read by the tokenizer's workers and goes no further.
+
+    The vocabulary is read where the driver runs and sent to the executors.
+    """
     rest = [f for f in documents.schema.fields if f.name not in (text, "tokens")]
-    path = os.path.join(folder, vocabulary)
+    documents.sparkSession.sparkContext.addFile(os.path.join(folder, vocabulary))
 
     def run(batches):
         import pyarrow as pa
-        import tiktoken
+        from pyspark import SparkFiles
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encode = tiktoken.Encoding("counts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = _encoder(SparkFiles.get(vocabulary))
         for b in batches:
             n = [len(encode(t)) if t else 0 for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*b.schema.names[:-1], "tokens"])
@@ -64,71 +78,70 @@ def _rate(lam: Column, tokens: Column, mean: Column, cap: Column) -> Column:
 
 
 def balance(counts: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_tokens, tokens, cap, lambda, reached, feasible): the dual solved for each source.
+    """(source, target_tokens, tokens, cap, lambda, mean, reached, rounds, converged, feasible): the dual solved for each source.
 
-    counts: (source, tokens) of all documents. targets: (source, target_share, max_repeats).
+    counts: (source, tokens) of all documents. targets: (source, target_share, max_repeats). converged: the
+    iterations ended, at the target or saturated below it; feasible: not saturated below it.
     """
     lengths = materialize(counts.groupBy("source", "tokens").agg(F.count(F.lit(1)).alias("n")), "token-lengths")
     total = lengths.agg(F.sum(F.col("tokens") * F.col("n"))).first()[0] or 0
+    lengths = lengths.where("tokens > 0 and source is not null")
     goal = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap"))
-    if goal.limit(MOST_SOURCES + 1).count() > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    sums = lengths.where("tokens > 0").groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("t"), F.sum("n").alias("docs"))
-    state = {}
-    for r in goal.join(sums, "source", "left").collect():
-        t, docs, cap = r["t"] or 0, r["docs"] or 0, max(r["cap"] or 0, 0)
-        want = (r["share"] or 0.0) * total
-        feasible = t * cap >= want
-        state[r["source"]] = {"want": want, "t": t, "mean": t / docs if docs else 1.0, "cap": float(cap), "lam": 0.0, "lo": None, "hi": None, "feasible": feasible, "reached": 0.0, "open": True}
-    spark = counts.sparkSession
-    schema = "source string, lam double, mean double, cap double"
+    sums = lengths.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("t"), F.sum("n").alias("docs"))
+    none = F.lit(None).cast("double")
+    start = goal.join(sums, "source", "left").select(
+        "source", (F.coalesce("share", F.lit(0.0)) * total).alias("want"), F.greatest(F.coalesce("cap", F.lit(0)), F.lit(0)).cast("double").alias("cap"), F.coalesce("t", F.lit(0)).alias("t"), F.coalesce(F.col("t") / F.col("docs"), F.lit(1.0)).alias("mean"),
+        F.lit(0.0).alias("lam"), none.alias("lo"), none.alias("hi"), F.lit(0.0).alias("reached"), F.lit(0).alias("rounds"), F.lit("open").alias("status"),
+    )
+    # a source without a token has nothing to step on: its first round is its last
+    state = materialize(start.where("t > 0").unionByName(_newton(start.where("t = 0").withColumns({"g": F.lit(0.0), "h": F.lit(0.0)}))), "multipliers")
+    few = state.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    hot = [] if few else hot_keys(lengths, ["source"])
+    ended = [state.where("status <> 'open'")]
     for _ in range(ROUNDS):
-        todo = [(k, s["lam"], s["mean"], s["cap"]) for k, s in state.items() if s["open"]]
-        if not todo:
-            break
-        lam = spark.createDataFrame(todo, schema)
+        now = state.where("status = 'open'")
+        j = lengths.join(F.broadcast(now), "source") if few else salted_join(lengths, now, ["source"], F.col("tokens"), hot=hot)
         w = _rate(F.col("lam"), F.col("tokens"), F.col("mean"), F.col("cap"))
-        part = lengths.where("tokens > 0").join(F.broadcast(lam), "source").withColumn("w", w)
         mass = F.col("w") * F.col("tokens") * F.col("n")
-        got = {r["source"]: r for r in part.groupBy("source").agg(F.sum(mass).alias("g"), F.sum(F.when(F.col("w") < F.col("cap"), mass * F.col("tokens") / F.col("mean")).otherwise(0.0)).alias("h")).collect()}
-        for k, s in state.items():
-            if s["open"]:
-                _newton(s, got.get(k))
-    rows = [(k, s["want"], s["t"], s["cap"], s["lam"], s["mean"], s["reached"], s["feasible"]) for k, s in state.items()]
-    return spark.createDataFrame(rows, "source string, target_tokens double, tokens bigint, cap double, lambda double, mean double, reached double, feasible boolean")
-
-
-def _newton(s: dict, got) -> None:
-    """One safeguarded Newton step of a source: the gradient is monotone in lambda, so a bracket is kept."""
-    g, h = (float(got["g"]), float(got["h"])) if got else (0.0, 0.0)
-    s["reached"] = g
-    gap = g - s["want"]
-    if not got or abs(gap) <= TOLERANCE * max(s["want"], 1.0) or (not s["feasible"] and h == 0 and gap < 0):
-        s["open"] = False
-        return
-    if gap < 0:
-        s["lo"] = s["lam"]
-    else:
-        s["hi"] = s["lam"]
-    step = s["lam"] - gap / h if h > 0 else None
-    lo, hi = s["lo"], s["hi"]
-    inside = step is not None and (lo is None or step > lo) and (hi is None or step < hi) and abs(step - s["lam"]) <= 50
-    if inside:
-        s["lam"] = step
-    elif lo is not None and hi is not None:
-        s["lam"] = (lo + hi) / 2
+        bent = F.when(F.col("w") < F.col("cap"), mass * F.col("tokens") / F.col("mean")).otherwise(0.0)
+        keep = ("want", "cap", "t", "mean", "lam", "lo", "hi", "reached", "rounds", "status")
+        got = j.withColumn("w", w).groupBy("source").agg(F.sum(mass).alias("g"), F.sum(bent).alias("h"), *[F.first(c).alias(c) for c in keep])
+        seen = Observation()
+        state = materialize(_newton(got).observe(seen, F.count_if(F.col("status") == "open").alias("open")), "multipliers")
+        ended.append(state.where("status <> 'open'"))
+        if not seen.get["open"]:
+            break
     else:
-        s["lam"] = s["lam"] + (4.0 if gap < 0 else -4.0)
+        ended.append(state.where("status = 'open'"))
+    state = reduce(DataFrame.unionByName, ended)
+    # the exact comparison confirms what the end state says
+    short = (F.col("status") == "saturated") & (F.col("t") * F.col("cap") < F.col("want"))
+    return state.select("source", F.col("want").alias("target_tokens"), F.col("t").alias("tokens"), "cap", F.col("lam").alias("lambda"), "mean", "reached", "rounds", (F.col("status") != "open").alias("converged"), (~short).alias("feasible"))
 
 
-def copies(counts: DataFrame, solved: DataFrame, key: str) -> DataFrame:
-    """counts with rate and copies: whole copies, and one more where the document's hash is below the fraction.
+def _newton(state: DataFrame) -> DataFrame:
+    """One safeguarded Newton step of each source with its gradient sum g and curvature h.
 
-    solved has one row a source, checked against MOST_SOURCES.
+    The gradient is monotone in the multiplier, so a bracket is kept: a step that leaves it halves it; where one
+    end is still unknown, the multiplier grows threefold.
     """
+    lam, lo, hi = F.col("lam"), F.col("lo"), F.col("hi")
+    s = state.withColumn("gap", F.col("g") - F.col("want"))
+    full = F.col("g") >= F.col("cap") * F.col("t") * (1 - TOLERANCE)
+    status = F.when(F.abs("gap") <= TOLERANCE * F.greatest("want", F.lit(1.0)), "converged").when((F.col("gap") < 0) & full, "saturated").otherwise("open")
+    s = s.withColumns({"status": status, "lo": F.when(F.col("gap") < 0, lam).otherwise(lo), "hi": F.when(F.col("gap") > 0, lam).otherwise(hi)})
+    far = 2 * (1 + F.abs("lam"))
+    step = lam - F.col("gap") / F.nullif("h", F.lit(0.0))
+    inside = F.coalesce((lo.isNull() | (step > lo)) & (hi.isNull() | (step < hi)) & (F.abs(step - lam) <= far), F.lit(False))
+    moved = F.when(inside, step).when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2).otherwise(lam + F.when(F.col("gap") < 0, far).otherwise(-far))
+    return s.select("source", "want", "cap", "t", "mean", F.when(F.col("status") == "open", moved).otherwise(lam).alias("lam"), "lo", "hi", F.col("g").alias("reached"), (F.col("rounds") + 1).alias("rounds"), "status")
+
+
+def copies(counts: DataFrame, solved: DataFrame, key: str) -> DataFrame:
+    """counts with rate and copies: whole copies, and one more where the document's hash is below the fraction."""
     s = solved.select("source", "lambda", "mean", "cap")
     own = [c for c in counts.columns if c not in ("lambda", "mean", "cap", "rate", "copies")]
-    j = small_join(counts.select(*own), s, ["source"], "left", MOST_SOURCES)
+    j = small_join(counts.select(*own), s, ["source"], "left")
     rate = F.when(F.col("tokens") > 0, F.coalesce(_rate(F.col("lambda"), F.col("tokens"), F.col("mean"), F.col("cap")), F.lit(0.0))).otherwise(0.0)
     even = (F.pmod(F.xxhash64(F.col(key), F.lit("mix")), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     j = j.withColumn("rate", rate)
@@ -142,4 +155,4 @@ def shares(mixed: DataFrame, solved: DataFrame) -> DataFrame:
     r = solved.join(got, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)))
     asked, given = r.agg(F.sum("target_tokens"), F.sum("mixed_tokens")).first()
     share = lambda c, t: (F.col(c) / F.lit(float(t))) if t else F.lit(0.0)
-    return r.select("source", "tokens", "target_tokens", share("target_tokens", asked).alias("target_share"), "mixed_tokens", share("mixed_tokens", given).alias("actual_share"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "feasible")
+    return r.select("source", "tokens", "target_tokens", share("target_tokens", asked).alias("target_share"), "mixed_tokens", share("mixed_tokens", given).alias("actual_share"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "rounds", "converged", "feasible")

@@ -21,6 +21,7 @@ def _mixture(spark: SparkSession, d: str):
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources whose iterations ended saturated, short of their target."""
     return _mixture(spark, d)[1].where("not feasible").select("source")
 
 
@@ -53,3 +54,9 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p8_found, p9_found, p9_shares, p9_copies, p10_found, p10_levels)}
+
+ORACLES = {
+    # no source is near its limit, so characters stand for tokens
+    "p9_found": """with t as (select source, sum(length(text)) as n from documents group by 1), m as (select source, max(target_share) as share, greatest(coalesce(max(max_repeats), 0), 0) as cap from mix_targets where source is not null group by 1)
+select m.source from m left join t on t.source = m.source where coalesce(t.n, 0) * m.cap < m.share * (select sum(length(text)) from documents)""",
+}
