@@ -40,12 +40,18 @@ def edited(words, rnd, rate):
     return out
 
 
-def test_search_equals_brute_force():
+def index_of(items, folder, **kw):
+    return [leak.Part(p) for p in leak.parts(items, str(folder), **kw)]
+
+
+@pytest.mark.parametrize("part_bytes", [1, 20_000, leak.PART_BYTES])
+def test_search_equals_brute_force(tmp_path, part_bytes):
     rnd = random.Random(4)
     vocab = [f"w{i}" for i in range(60)]
     opening = [rnd.choice(vocab) for _ in range(9)]
     items = [(i, " ".join((opening if i % 2 else []) + [rnd.choice(vocab) for _ in range(rnd.randint(15, 60))])) for i in range(40)]
-    index = leak.Index(items)
+    index = index_of(items, tmp_path, part_bytes=part_bytes)
+    assert (len(index) == 1) == (part_bytes == leak.PART_BYTES)
     texts = []
     for _ in range(250):
         words = [rnd.choice(vocab[:30] + ["other"]) for _ in range(rnd.randrange(30))]
@@ -59,23 +65,39 @@ def test_search_equals_brute_force():
     for text, found in zip(texts, got):
         doc = leak.words_of(text)
         want = [i for i, t in items if edits_within(leak.words_of(t), doc)]
-        assert found == want
+        assert sorted(found) == want
         hits += len(want)
     assert hits > 50
 
 
-def test_wand_returns_all_above_the_threshold():
+@pytest.mark.parametrize("block", [2, 7, 64])
+def test_wand_returns_all_above_the_threshold(tmp_path, monkeypatch, block):
+    monkeypatch.setattr(leak, "POSTINGS", block)
     rnd = random.Random(2)
-    items = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(200))) for i in range(200)]
-    index = leak.Index(items)
+    items = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(200))) for i in range(200)] + [(200, "a b a b " * 20)]
+    (part,) = index_of(items, tmp_path)
+    hits = 0
     for _ in range(20):
-        keys = list(dict.fromkeys(k for d in rnd.sample(range(200), 3) for k in rnd.sample(list(index.at[d]), 20)))
-        want = []
-        for d in range(len(index.items)):
-            score = sum(x for k in keys for doc, x in index.postings[k] if doc == d)
-            if score >= index.least[d] - 1e-9:
-                want.append(d)
-        assert index.search(keys) == want
+        keys = np.unique(np.concatenate([rnd.sample(list(leak.shingle_keys(part.text(d))), 20) for d in rnd.sample(range(200), 3)]))
+        terms = [int(t) for t in part.known(keys)]
+        score = np.zeros(201)
+        for t in terms:
+            lo, hi = part.start[t], part.start[t + 1]
+            score[part.docs[lo:hi]] += part.impacts[lo:hi]
+        got = part.search(terms)
+        assert got == np.flatnonzero(score >= leak.NEED).tolist()
+        hits += len(got)
+    assert hits >= 60
+
+
+def test_a_part_comes_back_from_its_file(tmp_path):
+    arrays = leak.pack([(1, [f"w{i}" for i in range(30)])])
+    leak.save(f"{tmp_path}/p", [1], arrays)
+    part = leak.Part(f"{tmp_path}/p")
+    assert part.ids == [1] and all((getattr(part, k) == v).all() and getattr(part, k).dtype == v.dtype for k, v in arrays.items())
+    leak.save(f"{tmp_path}/q", [], leak.pack([]))
+    assert leak.scan([leak.Part(f"{tmp_path}/q")], ["a b c d e f"]) == [[]]
+    assert (tmp_path / "p").stat().st_size < 30 * leak.WORD_BYTES + 2_000
 
 
 def test_odd_documents_and_items(spark, rows):
@@ -89,7 +111,7 @@ def test_odd_documents_and_items(spark, rows):
     df = spark.createDataFrame([(d, t, 0, "x") for d, t in docs], "doc_id long, text string, item_id int, bits string")
     got = leak.find_leaks(df, items)
     assert rows(got) == [(d, i) for d in (1, 2, 3, 7, 8) for i in (1, 2)]
-    assert rows(leak.find_leaks(df, items, block=1)) == rows(got)
+    assert rows(leak.find_leaks(df, items, part_bytes=1)) == rows(got)
     assert leak.find_leaks(df.limit(0), items).count() == 0 and leak.find_leaks(df, items.limit(0)).count() == 0
     assert rows(leak.leaked_items(got)) == [(1, 5), (2, 5)]
 
