@@ -93,8 +93,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_charges(spark: SparkSession, d: str) -> DataFrame:
     """The payer entries of charges as one flat table linked to their charge."""
-    t = nested.json_triples(table(spark, d, "nested_records").where("record_kind = 'hpt_file'"), "record_id", "body")
-    return nested.table_of(t, "record_id", "standard_charge_information[].standard_charges[].payers_information[]", ["payer_name", "plan_name", "standard_charge_dollar"])
+    at = ("standard_charge_information", "standard_charges", "payers_information")
+    members = ["payer_name", "plan_name", "standard_charge_dollar"]
+    t = nested.json_triples(table(spark, d, "nested_records").where("record_kind = 'hpt_file'"), "record_id", "body", (*at, *members), containers=True)
+    return nested.table_of(t, "record_id", ".".join(at), members)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -183,3 +185,8 @@ w as (select r.record_id, r.fullkey, r.item_value, arg_max(e.path, length(e.path
 select w.record_id, coalesce(i.id, '') as owner, substr(w.fullkey, 3) as path, w.item_value from w left join i on i.record_id = w.record_id and i.path = w.owner_path
 union all select p.record_id, coalesce(c.code, '') as owner, substr(p.fullkey, 3), p.item_value from (select record_id, fullkey, json_extract_string(atom, '$') as item_value, regexp_replace(path, '\\.modifier_payer_information(\\[[0-9]+\\])*$', '') as at from t where record_kind = 'hpt_file' and key = 'payer_name' and type = 'VARCHAR' and regexp_full_match(path, '\\$\\.modifier_information(\\[[0-9]+\\])*\\.modifier_payer_information(\\[[0-9]+\\])*')) p
 left join (select record_id, path, json_extract_string(atom, '$') as code from t where key = 'code' and type <> 'NULL') c on c.record_id = p.record_id and c.path = p.at where p.item_value <> ''"""
+
+_INDEX = "(\\[[0-9]+\\])*"
+ORACLES["p6_charges"] = f"""with v as (select record_id, case when json_valid(body) then body end as body from nested_records where record_kind = 'hpt_file'),
+t as (select v.record_id, substr(j.fullkey, 3) as row_path, j.value as x from v, json_tree(v.body) j where v.body is not null and j.type = 'OBJECT' and regexp_full_match(j.fullkey, '\\$\\.standard_charge_information{_INDEX}\\.standard_charges{_INDEX}\\.payers_information{_INDEX}'))
+select record_id, row_path, regexp_replace(row_path, '\\.payers_information{_INDEX}$', '') as parent_path, cast(nullif(regexp_extract(row_path, '\\[([0-9]+)\\]$', 1), '') as int) as ordinal, {', '.join(f"case when json_type(x, '$.{m}') not in ('OBJECT', 'ARRAY') then json_extract_string(x, '$.{m}') end as {m}" for m in ('payer_name', 'plan_name', 'standard_charge_dollar'))} from t""".replace("\\\\", "\\")

@@ -306,8 +306,9 @@ def test_iterative_parser_equals_the_recursive_one(text):
     try:
         want = json.loads(text)
     except ValueError:
-        with pytest.raises(ValueError):
-            nested.parse_iteratively(text)
+        for read in (nested.parse_iteratively, nested.stream):
+            with pytest.raises(ValueError):
+                read(text)
     else:
         assert nested.parse_iteratively(text) == want
 
@@ -320,10 +321,55 @@ def test_nesting_beyond_the_recursive_parser(spark):
 
 
 def test_flat_tables_keep_their_parents(spark, rows):
-    body = '{"orders":[{"id":"o1","lines":[{"sku":"a","qty":1},{"sku":"b"}]},{"id":"o2","lines":{"sku":"c"}}]}'
-    t = nested.json_triples(spark.createDataFrame([(1, body)], "record_id long, body string"), "record_id", "body")
-    assert rows(nested.table_of(t, "record_id", "orders[].lines[]", ["sku", "qty"]), "row_path", "parent_path", "ordinal", "sku", "qty") == [("orders[0].lines[0]", "orders[0]", 0, "a", "1"), ("orders[0].lines[1]", "orders[0]", 1, "b", None)]
-    assert rows(nested.table_of(t, "record_id", "orders[]", ["id"]), "row_path", "id") == [("orders[0]", "o1"), ("orders[1]", "o2")]
+    bodies = [
+        '{"orders":[{"id":"o1","lines":[{"sku":"a","qty":1},{"sku":"b"}]},{"id":"o2","lines":{"sku":"c","tags":["t"]}}]}',
+        '{"orders":{"lines":[{},{"qty":{"n":1}},[{"sku":7}],null,3],"id":"lone"},"lines":[{"sku":"no"}]}',
+        '{"orders":[]}', '{"orders":null}', '{"orders":[{}]}', "[1", None,
+    ]
+    t = nested.json_triples(spark.createDataFrame(list(enumerate(bodies)), "record_id int, body string"), "record_id", "body", containers=True)
+    assert rows(nested.table_of(t, "record_id", "orders.lines", ["sku", "qty"])) == sorted([
+        (0, "orders[0].lines[0]", "orders[0]", 0, "a", "1"), (0, "orders[0].lines[1]", "orders[0]", 1, "b", None), (0, "orders[1].lines", "orders[1]", None, "c", None),
+        (1, "orders.lines[0]", "orders", 0, None, None), (1, "orders.lines[1]", "orders", 1, None, None), (1, "orders.lines[2][0]", "orders", 0, "7", None),
+    ], key=repr)
+    assert rows(nested.table_of(t, "record_id", "orders", ["id"]), "record_id", "row_path", "parent_path", "id") == sorted([(0, "orders[0]", "", "o1"), (0, "orders[1]", "", "o2"), (1, "orders", "", "lone"), (4, "orders[0]", "", None)], key=repr)
+    assert rows(nested.table_of(t, "record_id", "orders.lines", ["sku"], ("sku",)).where("record_id = 1"), "sku") == [(None,)] * 3
+
+
+def tree_triples(v, path="", pattern="", ordinals=(), name="", parent=None):
+    """Triples from a parsed tree, recursively."""
+    if isinstance(v, dict):
+        for k, x in v.items():
+            dot = "." if path else ""
+            yield from tree_triples(x, f"{path}{dot}{k}", f"{pattern}{dot}{k}", ordinals, k, path)
+    elif isinstance(v, list):
+        for i, x in enumerate(v):
+            yield from tree_triples(x, f"{path}[{i}]", pattern + "[]", (*ordinals, i), name, parent)
+    else:
+        yield path, pattern, list(ordinals), name, None if v is None else v if isinstance(v, str) else json.dumps(v), parent
+
+
+def test_stream_equals_the_tree():
+    rnd = random.Random(11)
+
+    def value(depth):
+        k = rnd.randrange(9 if depth < 4 else 6)
+        if k > 6:
+            return {rnd.choice('ab"\\é. ') * rnd.randint(1, 2): value(depth + 1) for _ in range(rnd.randrange(4))}
+        if k == 6:
+            return [value(depth + 1) for _ in range(rnd.randrange(4))]
+        return rnd.choice([None, True, False, 0, -1, 2.5, 'x"\n\\', "", "漢"])
+
+    for _ in range(2_000):
+        v = value(0)
+        text = json.dumps(v, ensure_ascii=rnd.random() < 0.5, indent=rnd.choice([None, 1]))
+        assert [t[:5] + (t[6],) for t in nested.stream(text)] == list(tree_triples(v)), text
+        cut = text[: rnd.randrange(len(text))]
+        try:
+            json.loads(cut)
+        except ValueError:
+            with pytest.raises(ValueError):
+                nested.stream(cut)
+    assert [t[0:5:4] for t in nested.stream('{"a":{"b":1,"c":2},"d":3,"a":{"b":4},"d":[5]}')] == [("a.b", "4"), ("d[0]", "5")]
 
 
 # ---------------------------------------------------------------- 7
