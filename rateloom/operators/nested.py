@@ -16,9 +16,9 @@ null. Nesting is limited by memory only.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,10 @@ TRIPLES = "path string, pattern string, ordinals array<int>, name string, value
 _TEXT = r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
 #: One member or element: the comma before it, its name, then a text, an opening or closing sign, a number or a word.
 _MEMBER = re.compile(rf'[ \t\n\r]*+(,)?[ \t\n\r]*+(?:({_TEXT})[ \t\n\r]*+:[ \t\n\r]*+)?(?:({_TEXT})|([\[{{])|([\]}}])|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)(?![0-9.eE+-])|(true|false|null))')
+_WS = r"[ \t\n\r]*+"
+_SCALAR = rf"(?:{_TEXT}|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?(?![0-9.eE+-])|true|false|null)"
+#: Levels of nesting that are passed over in one match.
+PASSED = 3
 _TEXT_AT, _OPEN, _CLOSE, _NUMBER, _WORD = 3, 4, 5, 6, 7
 _SURROGATE = re.compile("[\ud800-\udfff]")
 
@@ -40,6 +44,19 @@ def _utf8(v: str | None) -> str | None:
     return v if v is None or v.isascii() else _SURROGATE.sub("\ufffd", v)
 
 
+@functools.lru_cache(maxsize=16)
+def _passing(names: frozenset[str]) -> tuple[re.Pattern, re.Pattern]:
+    """Patterns of a run of members of other names, valid JSON whatever is in it: at the beginning of an object, behind a member."""
+    other = r'"(?!(?:' + "|".join(re.escape(json.dumps(n)[1:-1]) for n in sorted(names)) + r')")[^"\\\x00-\x1f]*+"'
+    value = _SCALAR
+    for _ in range(PASSED - 1):
+        member = rf"{other}{_WS}:{_WS}{value}"
+        boxes = rf"\{{{_WS}(?:{member}{_WS}(?:,{_WS}{member}{_WS})*+)?\}}|\[{_WS}(?:{value}{_WS}(?:,{_WS}{value}{_WS})*+)?\]"
+        value = rf"(?:{_SCALAR}|{boxes})"
+    member = rf"{other}{_WS}:{_WS}{value}"
+    return re.compile(rf"{_WS}{member}(?:{_WS},{_WS}{member})*+"), re.compile(rf"(?:{_WS},{_WS}{member})++")
+
+
 class _Box:
     """An open object or list: where it hangs, what has been read of it. Paths are made when one is asked for."""
 
@@ -88,17 +105,25 @@ def _extend(path: str, pattern: str, ordinals: list[int], steps) -> tuple[str, s
     return "".join(a), "".join(b), o
 
 
-def stream(text: str, wanted: Callable[[str], bool] | None = None, discriminator: str | None = None, skip_root: str | None = None, containers: bool = False) -> list[tuple]:
+def stream(text: str, names: frozenset[str] | None = None, discriminator: str | None = None, skip_root: str | None = None, containers: bool = False) -> list[tuple]:
     """The triples of a record in document order; ValueError where the text is no JSON.
 
-    wanted(name) prunes what is emitted. discriminator names the member that makes an object an entity; a root whose
+    names prunes what is emitted to members of these names; runs of other members without any of them are passed over
+    in one match of a pattern that accepts nothing but JSON. discriminator names the member that makes an object an entity; a root whose
     discriminator equals skip_root is none. containers adds a triple without value for each object.
     """
     found: list[tuple] = []  # (box, step, name, value, type)
     box: _Box | None = None
     root: _Box | None = None
     pos, read = 0, _MEMBER.match
+    if names is not None:
+        first, later = _passing(names | {discriminator} if discriminator else names)
     while True:
+        if names is not None and box is not None and box.names is not None:
+            m = (later if box.n else first).match(text, pos)
+            if m is not None and not (box.names and _repeats(box.names, m[0])):
+                pos = m.end()
+                box.n += 1
         m = read(text, pos)
         if m is None:
             raise ValueError("invalid JSON")
@@ -130,10 +155,10 @@ def stream(text: str, wanted: Callable[[str], bool] | None = None, discriminator
             if kind == _OPEN:
                 box = _Box(box, step, name, m[4] == "{")
                 root = root or box
-                if containers and box.names is not None and (wanted is None or wanted(name)):
+                if containers and box.names is not None and (names is None or name in names):
                     found.append((box.up, step, name, None, "object"))
                 continue
-            if wanted is None or wanted(name):
+            if names is None or name in names:
                 if kind == _TEXT_AT:
                     found.append((box, step, name, _plain(m[3]), "string"))
                 elif kind == _NUMBER:
@@ -159,6 +184,11 @@ def stream(text: str, wanted: Callable[[str], bool] | None = None, discriminator
     return out
 
 
+def _repeats(names: set[str], run: str) -> bool:
+    """Whether a member that was read may come again in a run."""
+    return any(f'"{n}"' in run for n in names)
+
+
 def _forget(found: list[tuple], box: _Box, name: str) -> None:
     """Drop what was read of a member that comes again."""
 
@@ -222,7 +252,6 @@ def json_triples(df: DataFrame, record: str, body: str, names: tuple[str, ...] |
     def parse_batches(batches):
         import pyarrow as pa
 
-        wanted = keep.__contains__ if keep else None
         types = [pa.string(), pa.string(), pa.list_(pa.int32()), *[pa.string()] * 6]
         for batch in batches:
             bodies = batch.column(batch.num_columns - 1)
@@ -234,7 +263,7 @@ def json_triples(df: DataFrame, record: str, body: str, names: tuple[str, ...] |
                     if text is None:
                         continue
                     try:
-                        triples = stream(text, wanted, discriminator, skip_root, containers)
+                        triples = stream(text, keep, discriminator, skip_root, containers)
                     except ValueError:
                         continue
                     rows.extend(triples)

@@ -2,8 +2,8 @@
 
 A file is applied as a whole: deduplicated, resolved against the current versions, classified, and
 committed. The state is a set of tables under a path: closed versions, which are only appended to,
-and the current ones, which are rewritten; a manifest with the ledger names them and is committed by
-a rename, so a run that dies changes nothing. Applying a file again changes nothing.
+and the current ones, which are rewritten; a numbered manifest with the ledger names them and its appearance is the
+commit, so a run that dies changes nothing. Applying a file again changes nothing.
 
 Differences from a literal reading of the sources that would break the history's own rules: a key that was
 absent and comes back opens a version at the later of its effective date and its absence, as a
@@ -13,7 +13,6 @@ reactivation; a version that is closed by a record without any date ends with th
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..plans.materialize import hadoop_fs, read_text, write_text_atomic
+from ..plans.materialize import Manifests, hadoop_fs
 from ..sources.registry import ATTRIBUTES, BESIDE, row_hash
 from .relational import first_by
 
@@ -94,10 +93,10 @@ class HistoryStore:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.versions = Manifests(spark, path)
 
     def manifest(self) -> dict:
-        text = read_text(self.spark, f"{self.path}/manifest.json")
-        return json.loads(text) if text else {"closed": [], "current": None, "ledger": [], "drift": []}
+        return self.versions.latest() or {"closed": [], "current": None, "ledger": [], "drift": []}
 
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
@@ -126,7 +125,7 @@ class HistoryStore:
         return {r["source_file"] for r in self.manifest()["ledger"] if r["outcome"] in ("applied", "superseded_by_full")}
 
     def _commit(self, m: dict) -> None:
-        write_text_atomic(self.spark, f"{self.path}/manifest.json", json.dumps(m))
+        self.versions.commit(m)
 
     def apply(self, s: Staged) -> dict:
         """Merge one file; returns its ledger row."""

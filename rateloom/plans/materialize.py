@@ -8,6 +8,7 @@ column pruning, which an RDD checkpoint is not.
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
@@ -81,8 +82,12 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
-    """Write aside, then rename into place; False where overwrite is off and the file is there."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file whole or not at all, and never over another; False where the name is taken.
+
+    It is written aside and renamed without overwriting, which the file system refuses if another writer came first.
+    """
+    jvm = spark.sparkContext._jvm
     fs, jpath = hadoop_fs(spark, path)
     _, aside = hadoop_fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(aside, True)
@@ -90,12 +95,46 @@ def write_text_atomic(spark: SparkSession, path: str, text: str, overwrite: bool
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if fs.exists(jpath):
-        if not overwrite:
-            fs.delete(aside, False)
+    never = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    never[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(jpath.toUri() if jpath.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(files.makeQualified(aside), files.makeQualified(jpath), never)
+    except Exception as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" in str(e):
             return False
-        fs.delete(jpath, False)
-    return bool(fs.rename(aside, jpath))
+        raise
+    return True
+
+
+class ConflictError(RuntimeError):
+    """Another writer has committed since this one read the manifest."""
+
+
+class Manifests:
+    """The versions of a table or folder: one numbered file for each, never changed, moved or replaced.
+
+    The highest number is the current version, so a commit is the appearance of one file: a reader sees the version
+    before it or after it, and a run that dies at any moment leaves the version before it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "manifest"):
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+
+    def latest(self) -> dict | None:
+        """The current version with its number as `version`, or None before the first."""
+        fs, found = hadoop_fs(self.spark, f"{self.path}/{self.name}-*.json")
+        paths = [x.getPath().toString() for x in fs.globStatus(found) or []]
+        return json.loads(read_text(self.spark, max(paths))) if paths else None
+
+    def commit(self, manifest: dict) -> dict:
+        """Make the manifest the version after its own `version` (the first where it has none)."""
+        n = manifest.get("version", -1) + 1
+        new = dict(manifest, version=n)
+        if not create_text(self.spark, f"{self.path}/{self.name}-{n:010d}.json", json.dumps(new)):
+            raise ConflictError(f"version {n} of {self.path} is taken")
+        return new
 
 
 def local_path(path: str) -> str:

@@ -1,31 +1,25 @@
 """Change feeds as streams: each micro-batch is applied to a bucketed store, once.
 
-The store's manifest carries the number of the last applied batch, so a batch that is replayed after a
-failure changes nothing. Late records are dropped by their own date against the state, not by a watermark:
-the state never expires.
+The store's manifest carries the number of the last applied batch and is committed with its rows, so a batch that is
+replayed after a failure at any moment changes nothing. The store keeps all changes: a late one takes its place in
+the order whichever batch brings it, and the state is that of one delivery of all batches. There is no watermark, for the
+state never expires.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cdc_store import BucketStore, merge_net, net_effects, ordered_changes
-from ..plans.materialize import read_text, write_text_atomic
+from ..operators.cdc_store import BucketStore, apply_changes
 
 
 def apply_batch(store: BucketStore, log: DataFrame, changes: DataFrame, batch: int, key: str = "npi") -> bool:
     """Apply one batch; False where it was applied before."""
-    mark = f"{store.path}/batches.json"
-    done = json.loads(read_text(store.spark, mark) or '{"last": -1}')["last"]
-    if batch <= done:
+    if batch <= store.manifest()["batch"]:
         return False
-    base = store.read().select(key, (F.lower(F.trim("status")) == "active").alias("live"), F.col("last_update_date").alias("since"))
-    store.apply(net_effects(ordered_changes(changes, log, key=key), base, key), lambda b, n: merge_net(b, n, key))
-    write_text_atomic(store.spark, mark, json.dumps({"last": batch}))
+    apply_changes(store, changes, log, key, batch)
     return True
 
 

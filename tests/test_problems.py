@@ -431,8 +431,52 @@ def test_a_hot_key_with_many_changes(spark):
 
 def test_a_second_writer_is_told(spark):
     _, store = applied(spark, [("1", "active", 0)], [(1, 1, "1", "update", 1, "A")])
+    seen = store.manifest()
+    store.versions.commit(seen)
     with pytest.raises(cdc_store.ConflictError):
-        store._commit(store.manifest())
+        store.versions.commit(seen)
+
+
+def test_a_run_that_dies_changes_nothing(spark, monkeypatch):
+    history, feed, log = change_tables(spark, [("1", "active", 0), ("2", "active", 0)], [(1, 1, "1", "update", 1, "A"), (1, 2, "3", "insert", 1, "B")])
+    store = cdc_store.BucketStore(spark, materialize.scratch_path(spark, "test-store"))
+    store.create(cdc_store.current_rows(history), "npi", 4)
+    before = sorted(map(tuple, store.read().collect()))
+    for step in ("_write_log", "_write", "versions"):
+        with monkeypatch.context() as mp:
+            def dies(*_, **__):
+                raise RuntimeError("killed")
+
+            mp.setattr(store.versions, "commit", dies) if step == "versions" else mp.setattr(store, step, dies)
+            with pytest.raises(RuntimeError):
+                cdc_store.apply_changes(store, feed, log)
+        assert store.manifest()["version"] == 0 and sorted(map(tuple, store.read().collect())) == before
+    assert {(r["npi"], r["change_id"]) for r in cdc_store.apply_changes(store, feed, log).collect()} == {("1", 1), ("3", 2)}
+
+
+def test_any_cut_into_batches_gives_the_same_table(spark, monkeypatch):
+    monkeypatch.setattr(cdc_store, "MOST_LOGS", 2)
+    rnd = random.Random(3)
+    kinds = ["insert", "update", "deactivate", "reactivate", "update"]
+    changes = [(rnd.randint(1, 3), n, str(rnd.randrange(25)), rnd.choice(kinds), rnd.randrange(6), rnd.choice([None, "A", "B"])) for n in range(200)] + [(1, 900, "1", "update", 5, "LAST"), (1, 901, "1", "update", 2, "LATE")]
+    changes += changes[:30]
+    history, feed, log = change_tables(spark, [(str(k), rnd.choice(["active", "deactivated"]), rnd.randrange(3)) for k in range(12)], changes)
+    tables = []
+    for cut in (1, 4):
+        store = cdc_store.BucketStore(spark, materialize.scratch_path(spark, "test-store"))
+        store.create(cdc_store.current_rows(history), "npi", 4)
+        for b in range(cut):
+            part = feed.where(F.pmod(F.xxhash64("change_id"), F.lit(cut)) == b)
+            got = {r["npi"] for r in cdc_store.apply_changes(store, part, log, batch=b).collect()}
+            assert cdc_store.apply_changes(store, part, log, batch=b).count() == 0
+        tables.append(sorted((r["npi"], r["status"], r["practice_city"], r["change_id"], r["practice_city_change_id"], r["last_update_date"]) for r in store.read().collect()))
+    assert tables[0] == tables[1] and len(store.manifest()["log"]) <= 3
+    assert {(t[0], t[1], t[3], t[4]) for t in tables[0] if t[3]} == brute.p7(plain(history), plain(feed), plain(log))
+    old = store.manifest()
+    store.rebucket(7)
+    assert sorted((r["npi"], r["status"], r["practice_city"], r["change_id"], r["practice_city_change_id"], r["last_update_date"]) for r in store.read().collect()) == tables[0] and store.manifest()["version"] == old["version"] + 1
+    cdc_store.apply_changes(store, feed.limit(3), log, batch=99)
+    assert sorted((r["npi"], r["status"], r["practice_city"], r["change_id"], r["practice_city_change_id"], r["last_update_date"]) for r in store.read().collect()) == tables[0]
 
 
 # ---------------------------------------------------------------- plans
@@ -450,5 +494,5 @@ def test_salted_join_equals_a_join(spark, rows):
 def test_written_tables_go_to_the_shared_folder(spark):
     path = materialize.shared_dir(spark)
     assert path
-    assert materialize.write_text_atomic(spark, f"{path}/x/y.txt", "a") and not materialize.write_text_atomic(spark, f"{path}/x/y.txt", "b", overwrite=False)
+    assert materialize.create_text(spark, f"{path}/x/y.txt", "a") and not materialize.create_text(spark, f"{path}/x/y.txt", "b")
     assert materialize.read_text(spark, f"{path}/x/y.txt") == "a" and materialize.read_text(spark, f"{path}/none") is None
