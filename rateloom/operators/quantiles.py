@@ -22,25 +22,28 @@ SUMMARY_BITS = 32
 _MIN_NORMAL = 2.0**-1022
 
 
-def ordered_bits(value: Column) -> Column:
-    """The integer whose order is that of the doubles: their bit pattern for x >= 0, the negated one of |x| below.
+def with_ordered_bits(df: DataFrame, value: Column, name: str = "_bits") -> DataFrame:
+    """df with the integer whose order is that of the doubles: their bit pattern for x >= 0, the negated one of |x| below.
 
     Arithmetic only, so it stays in generated code: powers of two are exact, hence so are exponent and
-    fraction. NaN gives null; both zeros give 0.
+    fraction. It is put down in steps, each of which is evaluated once a row. NaN gives null; both zeros give 0.
     """
-    x = F.abs(value)
-    guess = F.floor(F.log2(x))
-    guess = F.greatest(F.least(guess, F.lit(1023)), F.lit(-1022))
-    low = F.when(F.pow(F.lit(2.0), guess) > x, guess - 1).otherwise(guess)
-    exp = F.greatest(F.when((low < 1023) & (F.pow(F.lit(2.0), low + 1) <= x), low + 1).otherwise(low), F.lit(-1022))
-    normal = (exp + 1023) * F.lit(1 << 52) + ((x / F.pow(F.lit(2.0), exp) - 1.0) * F.lit(float(1 << 52))).cast("long")
+    x, e, p, top = (F.col(f"_{name}_{c}") for c in "xept")
+    step = df.withColumn(f"_{name}_v", value).withColumn(f"_{name}_x", F.abs(f"_{name}_v"))
+    # a logarithm is off by less than one: the power below or above is the right one then
+    step = step.withColumn(f"_{name}_e", F.greatest(F.least(F.floor(F.log2(x)), F.lit(1023)), F.lit(-1022))).withColumn(f"_{name}_p", F.pow(F.lit(2.0), e))
+    step = step.withColumn(f"_{name}_t", F.when((p > x) & (e > -1022), -1).when((e < 1023) & (p * 2.0 <= x), 1).otherwise(0))
+    power = F.when(top == 0, p).when(top == 1, p * 2.0).otherwise(p / 2.0)
+    normal = (e + top + 1023) * F.lit(1 << 52) + ((x / power - 1.0) * F.lit(float(1 << 52))).cast("long")
     tiny = (x * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
     bits = F.when(x == float("inf"), F.lit(2047 << 52)).when(x == 0.0, F.lit(0)).when(x < _MIN_NORMAL, tiny).otherwise(normal)
-    return F.when(~F.isnan(value), F.when(value < 0, -bits).otherwise(bits)).cast("long")
+    v = F.col(f"_{name}_v")
+    step = step.withColumn(name, F.when(~F.isnan(v), F.when(v < 0, -bits).otherwise(bits)).cast("long"))
+    return step.drop(*[f"_{name}_{c}" for c in "vxept"])
 
 
 def from_bits(bits: Column) -> Column:
-    """The inverse of ordered_bits."""
+    """The inverse of with_ordered_bits."""
     a = F.abs(bits)
     exp, frac = F.shiftright(a, 52), a.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
     normal = (1.0 + frac * F.lit(2.0**-52)) * F.pow(F.lit(2.0), exp - 1023)
@@ -50,7 +53,8 @@ def from_bits(bits: Column) -> Column:
 
 def _with_bits(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     x = F.col(value).cast("double")
-    return df.where(x.isNotNull() & ~F.isnan(x)).select(*groups, ordered_bits(x).alias("_bits"))
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*groups, x.alias("_value"))
+    return with_ordered_bits(rows, F.col("_value")).select(*groups, "_bits")
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -75,9 +79,11 @@ def merge_summaries(*parts: DataFrame) -> DataFrame:
 def summary_percentiles(summary: DataFrame, groups: list[str], probs: list[float], bits: int = SUMMARY_BITS) -> DataFrame:
     """(groups, n, one column a probability) from a summary; relative error at most 2**-(bits - 12)."""
     lo = F.shiftleft("digit", 64 - bits)
-    counts = summary.select(*groups, lo.alias("_bits"), F.col("n").alias("_n"))
-    sizes = _targets(counts, groups, probs)
-    return _interpolated(_select(counts, groups, sizes, DIGITS, None), sizes, groups, probs)
+    counts = materialize(summary.select(*groups, lo.alias("_bits"), F.col("n").alias("_n")), "summary")
+    sizes = materialize(_targets(counts, groups, probs), "summary-sizes")
+    # what the summary does not keep need not be looked for
+    digits = tuple(d for i, d in enumerate(DIGITS) if sum(DIGITS[:i]) < bits)
+    return _interpolated(_select(counts, groups, sizes, digits, "summary"), sizes, groups, probs)
 
 
 def radix_percentiles(df: DataFrame, groups: list[str], value: str, probs: list[float], digits: tuple[int, ...] = DIGITS) -> DataFrame:

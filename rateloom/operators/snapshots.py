@@ -55,19 +55,27 @@ def canonical_snapshots(rows: DataFrame, files: DataFrame, key: str = "npi", fil
 def snapshot_changes(snapshots: DataFrame, files: DataFrame, key: str = "npi", fields: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
     """(seq, key, change_kind, changed_fields) between consecutive snapshots; seq is the later one.
 
-    snapshots has one row for each key and seq; files (seq, coverage_end) counts 1, 2, 3 without gaps. Each row is
+    snapshots has one row for each key and seq; files (seq, coverage_end) counts 1, 2, 3 without gaps. Rows are
     unpivoted into key-field-value cells plus a marker of the key's presence, with sign +1 as part of
     the later and -1 as part of the earlier side of a pair. Equal cells cancel; what is left over
     classifies the row. All of it follows one repartitioning by key: no cell is shuffled.
+
+    A row that is all the same on both sides would cancel cell by cell, so it makes none; one without a
+    counterpart is told by its marker and makes no other. A key has at most one row a snapshot, which bounds the window.
     """
     last = files.agg(F.max("seq").alias("_last"))
-    rows = snapshots.crossJoin(F.broadcast(last)).repartition(key)
-    cells = F.array(F.struct(F.lit(_PRESENT).alias("field"), F.lit(None).cast("string").alias("value")), *[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
-    sides = F.filter(F.array(F.struct(F.col("seq").alias("pair"), F.lit(1).alias("sign")), F.struct((F.col("seq") + 1).alias("pair"), F.lit(-1).alias("sign"))), lambda s: (s["pair"] > 1) & (s["pair"] <= F.col("_last")))
-    signed = rows.select(key, F.explode(sides).alias("_s"), cells.alias("_cells")).select(key, "_s.pair", "_s.sign", F.explode("_cells").alias("_c")).select(key, "pair", "sign", "_c.field", "_c.value")
+    by_key = Window.partitionBy(key).orderBy("seq")
+    rows = snapshots.select(key, "seq", F.struct(*fields).alias("_row")).repartition(key)
+    near = lambda f, step: F.when(f("seq").over(by_key) == F.col("seq") + step, f("_row").over(by_key))
+    rows = rows.withColumn("_before", near(F.lag, -1)).withColumn("_after", near(F.lead, 1)).crossJoin(F.broadcast(last))
+    side = lambda other, pair, sign: F.when((pair > 1) & (pair <= F.col("_last")) & ~other.eqNullSafe(F.col("_row")), F.struct(pair.alias("pair"), F.lit(sign).alias("sign"), other.isNotNull().alias("both")))
+    sides = F.filter(F.array(side(F.col("_before"), F.col("seq"), 1), side(F.col("_after"), F.col("seq") + 1, -1)), lambda x: x.isNotNull())
+    marker = F.struct(F.lit(_PRESENT).alias("field"), F.lit(None).cast("string").alias("value"))
+    cells = F.array(marker, *[F.struct(F.lit(f).alias("field"), F.col(f"_row.{f}").alias("value")) for f in fields])
+    signed = rows.select(key, F.explode(sides).alias("_s"), "_row").select(key, "_s.pair", "_s.sign", F.explode(F.when(F.col("_s.both"), cells).otherwise(F.array(marker))).alias("_c")).select(key, "pair", "sign", "_c.field", "_c.value")
     left = signed.groupBy(key, "pair", "field", "value").agg(F.sum("sign").alias("n")).where("n <> 0")
-    marker = F.max(F.when(F.col("field") == _PRESENT, F.col("n")))
-    kinds = left.groupBy(key, "pair").agg(marker.alias("_m"), F.array_sort(F.collect_set(F.when(F.col("field") != _PRESENT, F.col("field")))).alias("_f"))
+    present = F.max(F.when(F.col("field") == _PRESENT, F.col("n")))
+    kinds = left.groupBy(key, "pair").agg(present.alias("_m"), F.array_sort(F.collect_set(F.when(F.col("field") != _PRESENT, F.col("field")))).alias("_f"))
     kind = F.when(F.col("_m").isNull(), "changed").when(F.col("_m") > 0, "added").otherwise("removed")
     return kinds.select(F.col("pair").alias("seq"), key, kind.alias("change_kind"), F.when(F.col("_m").isNull(), F.col("_f")).otherwise(F.array().cast("array<string>")).alias("changed_fields"))
 

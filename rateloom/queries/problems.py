@@ -64,12 +64,12 @@ def p4_table(spark: SparkSession, d: str) -> DataFrame:
 FILLER_RATE = 999_999_999.0
 
 
-def rates(charges: DataFrame) -> DataFrame:
-    """(hospital_id, payer, negotiated_rate): each charge once, the latest loaded; rates that are no price left out."""
+def rates(charges: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(hospital_id, payer, negotiated_rate, carry...): each charge once, the latest loaded; rates that are no price left out."""
     ok = charges.where(F.col("negotiated_rate").isNotNull() & ~F.isnan("negotiated_rate") & (F.col("negotiated_rate") > 0) & (F.col("negotiated_rate") != FILLER_RATE))
     row = F.struct("loaded_at", "hospital_id", fold(F.col("payer_name")).alias("payer"), "negotiated_rate")
     once = ok.where("charge_id is not null").select("charge_id", row.alias("_r")).groupBy("charge_id").agg(F.max("_r").alias("_r"))
-    return once.select("_r.hospital_id", "_r.payer", "_r.negotiated_rate")
+    return once.select("_r.hospital_id", "_r.payer", "_r.negotiated_rate", *[F.col(f"_r.{c}") for c in carry])
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -79,10 +79,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_hospitals(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles per hospital, summarised by day of loading and merged."""
-    ok = rates(table(spark, d, "fct_standard_charges")).where("hospital_id is not null")
-    summary = quantiles.radix_summary(ok, ["hospital_id"], "negotiated_rate")
-    return quantiles.summary_percentiles(quantiles.merge_summaries(summary), ["hospital_id"], [0.25, 0.5, 0.75, 0.9])
+    """Percentiles per hospital: a summary of each day of loading, the days merged."""
+    ok = rates(table(spark, d, "fct_standard_charges"), ("loaded_at",)).where("hospital_id is not null")
+    days = quantiles.radix_summary(ok.withColumn("day", F.to_date("loaded_at")), ["hospital_id", "day"], "negotiated_rate")
+    # what is stored: one portion a day, which other days are added to later
+    days = materialize(days, "day-summaries")
+    return quantiles.summary_percentiles(quantiles.merge_summaries(days.drop("day")), ["hospital_id"], [0.25, 0.5, 0.75, 0.9])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

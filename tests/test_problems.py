@@ -249,7 +249,7 @@ def test_bits_keep_the_order_and_come_back(spark):
     values = [0.0, -0.0, 1.0, -1.0, 0.1, 1e308, -1e308, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, math.inf, -math.inf, 0.5, 2.0, math.nextafter(2, 0), math.nextafter(2, 3), 1.7976931348623157e308]
     values += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64)))[0] for _ in range(20_000)]
     values = [v for v in values if not math.isnan(v)]
-    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", quantiles.ordered_bits(F.col("x")).alias("b"))
+    df = quantiles.with_ordered_bits(spark.createDataFrame([(v,) for v in values], "x double"), F.col("x"), "b")
     df = df.select("x", "b", quantiles.from_bits(F.col("b")).alias("y"))
     for r in df.collect():
         assert r["b"] == signed_bits(r["x"]) and r["y"] == r["x"], r
