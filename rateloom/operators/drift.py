@@ -14,6 +14,7 @@ no type and is never retyped. A tie of types goes to the alphabetically first.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,30 +28,28 @@ from ..plans.skew import salted_join
 AGREE = 0.5
 #: Residual and rounds at which the propagation ends, and the least score of a correspondence relative to its column's best.
 EPSILON, ROUNDS, RELATIVE = 1e-3, 50, 0.5
+#: Pairs of files that one task matches.
+PAIRS = 100
 _TYPES = ("array", "boolean", "number", "object", "string")
 
 
 def json_type(value: Column) -> Column:
-    """JSON type of a variant; null for a JSON null."""
+    """JSON type of a variant; null for a JSON null and for none."""
     s = F.schema_of_variant(value)
     return (
-        F.when(s == "VOID", None).when(s.startswith("ARRAY"), "array").when(s.startswith("OBJECT"), "object").when(s == "BOOLEAN", "boolean").when(s.isin("STRING", "BINARY"), "string").otherwise("number")
+        F.when(s.isNull() | (s == "VOID"), None).when(s.startswith("ARRAY"), "array").when(s.startswith("OBJECT"), "object").when(s == "BOOLEAN", "boolean").when(s.isin("STRING", "BINARY"), "string").otherwise("number")
     )
 
 
-def members(rows: DataFrame, carry: list[str], body: str = "row_json") -> DataFrame:
-    """(carry..., member, json_type, value, shape): the members of each line; names without case or blanks around '|'.
+def _members(v: Column) -> Column:
+    """The members of a variant object as a map; null where it is none."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
-    value is a text that is equal for equal values of one type: numbers by value, all else as JSON.
-    """
-    v = rows.select(*carry, F.try_parse_json(body).alias("_v"))
-    v = v.withColumn("_v", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v")))
-    m = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(*carry, F.col("key").alias("_key"), F.col("value").alias("_value"))
-    kind = json_type(F.col("_value"))
-    number = F.try_variant_get("_value", "$", "double").cast("string")
-    text = F.when(kind == "number", F.concat(F.lit("number:"), F.coalesce(number, F.to_json("_value")))).when(kind.isNotNull(), F.concat(kind, F.lit(":"), F.to_json("_value")))
-    shape = F.when(kind == "object", F.regexp_replace(F.schema_of_variant("_value"), r"\([0-9, ]*\)", ""))
-    return m.select(*carry, norm_header(F.col("_key")).alias("member"), kind.alias("json_type"), text.alias("value"), shape.alias("shape"))
+
+def value_text(value: Column, kind: Column) -> Column:
+    """A text that is equal for equal values of one type: numbers by value, all else as JSON."""
+    number = F.try_variant_get(value, "$", "double").cast("string")
+    return F.when(kind == "number", F.concat(F.lit("number:"), F.coalesce(number, F.to_json(value)))).when(kind.isNotNull(), F.concat(kind, F.lit(":"), F.to_json(value)))
 
 
 def file_order(files: DataFrame, rows: DataFrame) -> DataFrame:
@@ -61,15 +60,61 @@ def file_order(files: DataFrame, rows: DataFrame) -> DataFrame:
     return held.join(dated, "source_sha256").select("source_sha256", "hospital_id", F.row_number().over(order).alias("seq"))
 
 
-def profiles(cells: DataFrame) -> DataFrame:
-    """(hospital_id, source_sha256, member, json_type, shape): one row for each member of a file, by partial aggregation."""
-    counts = [F.count_if(F.col("json_type") == t).alias(t) for t in _TYPES]
-    p = cells.groupBy("hospital_id", "source_sha256", "member").agg(*counts, F.max("shape").alias("shape"))
+_NAME = re.compile(r"(?:`((?:[^`]|``)*+)`|([^`:<>,]+)): ")
+_SIGN = re.compile(r"`(?:[^`]|``)*+`|\([^)]*\)|([<>,])")
+_BY_SQL = {"STRING": "string", "BINARY": "string", "BOOLEAN": "boolean", "VOID": None}
+
+
+@functools.lru_cache(maxsize=100_000)
+def members_of(schema: str) -> tuple[tuple[str, str | None, str | None], ...]:
+    """(name, JSON type, shape) of the members in the schema text of an object; the shape of an object is its own schema."""
+    out, pos = [], len("OBJECT<")
+    while schema[pos] != ">":
+        m = _NAME.match(schema, pos)
+        depth, begin = 0, m.end()
+        for t in _SIGN.finditer(schema, begin):
+            if t[1] == "<":
+                depth += 1
+            elif t[1] is not None and depth:
+                depth -= t[1] == ">"
+            elif t[1] is not None:
+                break
+        kind = schema[begin : t.start()]
+        pos = t.start() if t[1] == ">" else t.end() + 1
+        word = kind.partition("<")[0]
+        json_kind = _BY_SQL[word] if word in _BY_SQL else {"OBJECT": "object", "ARRAY": "array"}.get(word, "number")
+        out.append((m[2] if m[1] is None else m[1].replace("``", "`"), json_kind, kind if word == "OBJECT" else None))
+    return tuple(out)
+
+
+def profiles(rows: DataFrame, body: str = "row_json") -> DataFrame:
+    """(hospital_id, source_sha256, member, json_type, shape, keys): one row for each member of a file.
+
+    A line is parsed once and gives nothing but the text of its schema; lines of a file are counted by that text, of
+    which there are few, and only those are taken apart. keys are the names the member has in the lines.
+    """
+    schema = F.schema_of_variant(F.try_parse_json(body))
+    schema = F.regexp_replace(schema, r": (?:BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\))(?=[,>])", ": NUMBER")
+    counts = rows.select("hospital_id", "source_sha256", schema.alias("schema")).where(F.col("schema").startswith("OBJECT<")).groupBy("hospital_id", "source_sha256", "schema").agg(F.count(F.lit(1)).alias("n"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            found = [(i, *m) for i, text in enumerate(b.column(2).to_pylist()) for m in members_of(text)]
+            if found:
+                at, key, kind, shape = zip(*found)
+                own = [b.column(i).take(pa.array(at)) for i in (0, 1, 3)]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, pa.string()) for c in (key, kind, shape)]], names=["hospital_id", "source_sha256", "n", "key", "json_type", "shape"])
+
+    cells = counts.mapInArrow(run, "hospital_id string, source_sha256 string, n bigint, key string, json_type string, shape string")
+    counted = [F.coalesce(F.sum(F.when(F.col("json_type") == t, F.col("n"))), F.lit(0)).alias(t) for t in _TYPES]
+    p = cells.groupBy("hospital_id", "source_sha256", norm_header(F.col("key")).alias("member")).agg(*counted, F.max("shape").alias("shape"), F.collect_set("key").alias("keys"))
     most = F.greatest(*_TYPES)
     kind = F.when(most == 0, None)
     for t in _TYPES:
         kind = kind.when(F.col(t) == most, t)
-    return p.select("hospital_id", "source_sha256", "member", kind.alias("json_type"), "shape")
+    return p.select("hospital_id", "source_sha256", "member", kind.alias("json_type"), "shape", "keys")
 
 
 def _grams(s: str) -> set[str]:
@@ -146,31 +191,31 @@ def flood(old: list[tuple], new: list[tuple], evidence: dict) -> list[tuple[str,
     return out
 
 
-def schema_changes(rows: DataFrame, files: DataFrame) -> DataFrame:
+def schema_changes(rows: DataFrame, files: DataFrame, prof: DataFrame | None = None) -> DataFrame:
     """(hospital_id, source_sha256, seq, kind, column_name, new_name, score, share): every change of the later file.
 
-    rows: hospital_id, source_sha256, line_key, row_json. Lines are read twice: once for the profiles,
-    which are small (columns of files), and once for the values of the columns that came or went. Only
-    equal values on equal lines meet in a join, so nothing is paired within a file or hospital.
+    rows: hospital_id, source_sha256, line_key, row_json. prof: profiles(rows), where it is at hand. Lines are read twice: once
+    for the profiles, which are small (columns of files), and once, of files with columns that came or went, for the values
+    of those alone. Only equal values on equal lines meet in a join, so nothing is paired within a file or hospital.
     """
     order = file_order(files, rows)
     carry = ["hospital_id", "source_sha256"]
-    prof = materialize(profiles(members(rows, carry)).join(order, carry), "profiles")
-    a = prof.select("hospital_id", (F.col("seq") + 1).alias("seq"), "member", F.col("json_type").alias("t1"), F.lit(True).alias("in1"))
-    b = prof.select("hospital_id", "seq", "member", F.col("json_type").alias("t2"), F.lit(True).alias("in2"))
+    prof = materialize((profiles(rows) if prof is None else prof).join(order, carry), "profiles")
+    a = prof.select("hospital_id", (F.col("seq") + 1).alias("seq"), "member", F.col("json_type").alias("t1"), F.col("keys").alias("_keys1"), F.lit(True).alias("in1"))
+    b = prof.select("hospital_id", "seq", "member", F.col("json_type").alias("t2"), F.col("keys").alias("_keys2"), F.lit(True).alias("in2"))
     pairs = order.where("seq > 1").select("hospital_id", "seq", "source_sha256")
     diff = a.join(b, ["hospital_id", "seq", "member"], "full").where("in1 is null or in2 is null or t1 <> t2").join(pairs, ["hospital_id", "seq"])
-    diff = materialize(diff.select("hospital_id", "seq", "source_sha256", "member", F.when(F.col("in2").isNull(), "removed").when(F.col("in1").isNull(), "added").otherwise("retyped").alias("kind")), "schema-diff")
+    diff = materialize(diff.select("hospital_id", "seq", "source_sha256", "member", F.when(F.col("in2").isNull(), "removed").when(F.col("in1").isNull(), "added").otherwise("retyped").alias("kind"), F.coalesce("_keys2", "_keys1").alias("keys")), "schema-diff")
     both = diff.where("kind <> 'retyped'").groupBy("hospital_id", "seq").agg(F.count_if(F.col("kind") == "removed").alias("_r"), F.count_if(F.col("kind") == "added").alias("_a")).where("_r > 0 and _a > 0").select("hospital_id", "seq")
     moved = diff.where("kind <> 'retyped'").join(both, ["hospital_id", "seq"], "left_semi")
-    # each column that went or came, by the file that holds it
-    side = moved.select("hospital_id", F.col("seq").alias("pair"), F.when(F.col("kind") == "removed", F.col("seq") - 1).otherwise(F.col("seq")).alias("seq"), "member", "kind")
-    by_file = side.join(order, ["hospital_id", "seq"]).groupBy("source_sha256").agg(F.collect_list(F.struct("pair", "kind", "member")).alias("_moved"))
+    # each column that went or came, by the file that holds it, under the names it has there
+    side = moved.select("hospital_id", F.col("seq").alias("pair"), F.when(F.col("kind") == "removed", F.col("seq") - 1).otherwise(F.col("seq")).alias("seq"), "member", "kind", F.explode("keys").alias("key"))
+    by_file = side.join(order, ["hospital_id", "seq"]).groupBy("source_sha256").agg(F.collect_list(F.struct("pair", "kind", "member", "key")).alias("_moved"))
     lines = rows.where("hospital_id is not null and line_key is not null").select("hospital_id", "source_sha256", "line_key", "row_json")
-    lines = salted_join(lines, by_file, ["source_sha256"], F.col("line_key"))
-    cells = members(lines, ["hospital_id", "source_sha256", "line_key", "_moved"]).where("value is not null")
-    hit = F.filter("_moved", lambda m: m["member"] == F.col("member"))
-    cells = cells.select("hospital_id", "line_key", "member", "value", F.explode(hit).alias("_m")).groupBy("hospital_id", F.col("_m.pair").alias("seq"), F.col("_m.kind").alias("kind"), "line_key", "member").agg(F.max("value").alias("value"))
+    lines = salted_join(lines, by_file, ["source_sha256"], F.col("line_key")).select("hospital_id", "line_key", _members(F.try_parse_json("row_json")).alias("_m"), "_moved").where("_m is not null")
+    cells = lines.select("hospital_id", "line_key", F.explode(F.transform("_moved", lambda x: F.struct(x.alias("at"), F.try_element_at("_m", x["key"]).alias("v")))).alias("_c"))
+    cells = cells.select("hospital_id", "line_key", "_c.at.*", F.col("_c.v").alias("_v"), json_type(F.col("_c.v")).alias("_k")).where("_k is not null")
+    cells = cells.groupBy("hospital_id", F.col("pair").alias("seq"), "kind", "line_key", "member").agg(F.max(value_text(F.col("_v"), F.col("_k"))).alias("value"))
     cells = materialize(cells, "moved-cells")
     gone = cells.where("kind = 'removed'").select("hospital_id", "seq", "line_key", F.col("member").alias("old_name"), "value")
     came = cells.where("kind = 'added'").select("hospital_id", "seq", "line_key", F.col("member").alias("new_name"), "value")
@@ -195,7 +240,7 @@ def _correspondences(prof: DataFrame, both: DataFrame, evidence: DataFrame) -> D
     shares = evidence.groupBy("hospital_id", "seq").agg(F.collect_list(F.struct("old_name", "new_name", "share")).alias("ev"))
     graph = schemas.join(shares, ["hospital_id", "seq"], "left")
     # few bytes but much work for each pair: spread by number, not by size
-    graph = graph.repartition(4 * prof.sparkSession.sparkContext.defaultParallelism)
+    graph = graph.repartition(min(both.count() // PAIRS + 1, 20_000))
 
     def run(batches):
         import pandas as pd
@@ -211,27 +256,36 @@ def _correspondences(prof: DataFrame, both: DataFrame, evidence: DataFrame) -> D
     return graph.mapInPandas(run, "hospital_id string, seq int, old_name string, new_name string, score double")
 
 
-def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame) -> DataFrame:
-    """(hospital_id, source_sha256, line_no, line_key, column_name, column_type, value): all lines in one table.
+def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame, prof: DataFrame | None = None) -> DataFrame:
+    """(hospital_id, source_sha256, line_no, line_key, column_name, column_type, value, number, flag): all lines in one table.
 
     Every member goes under the name it has in the hospital's latest file and is cast to the type it
-    has there (text where it cannot be); renames are followed through all later files. A file without a place
+    has there; renames are followed through all later files. value is its text, number and flag are the cast value of a
+    number or boolean column, null where it cannot be cast (the text then is as it was). A file without a place
     in the order (undated, unlisted or without hospital) stands alone: its lines are kept under their own names,
-    cast to the types of that file.
+    cast to the types of that file. A line that is no JSON object has no members.
+
+    Names and types are settled by file, from the profiles; they reach the lines with one join by file, hot files
+    salted, and no cell is shuffled.
     """
+    key = lambda c: F.coalesce(F.concat(F.lit("v"), F.col(c)), F.lit("n"))
+    keyed = lambda df: df.withColumns({"_h": key("hospital_id"), "_s": key("source_sha256")})
     order = file_order(files, rows)
     ren = changes.where("kind = 'renamed'").groupBy("hospital_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("column_name").alias("a"), F.col("new_name").alias("b")))).alias("_renames"))
     placed = order.join(ren, "hospital_id", "left").select("source_sha256", "hospital_id", "seq", "_renames")
-    lines = salted_join(rows.select("hospital_id", "source_sha256", "line_no", "line_key", "row_json"), placed, ["source_sha256", "hospital_id"], F.col("line_no"), "left")
-    cells = members(lines, ["hospital_id", "source_sha256", "seq", "line_no", "line_key", "_renames"])
+    p = (profiles(rows) if prof is None else prof).select("hospital_id", "source_sha256", "member", "json_type").join(placed, ["source_sha256", "hospital_id"], "left")
     name = F.aggregate(F.filter("_renames", lambda r: r["seq"] > F.col("seq")), F.col("member"), lambda acc, r: F.when(acc == r["a"], r["b"]).otherwise(acc))
-    cells = cells.withColumn("column_name", F.when(F.col("_renames").isNull(), F.col("member")).otherwise(name)).drop("_renames")
-    # what shares its types: a hospital's placed files, or one unplaced file
-    cells = cells.withColumn("_alone", F.when(F.col("seq").isNull(), F.coalesce("source_sha256", F.lit(""))))
-    kinds = cells.where("json_type is not null").groupBy("hospital_id", "_alone", "column_name", "seq").agg(F.mode("json_type", True).alias("t")).groupBy("hospital_id", "_alone", "column_name").agg(F.max_by("t", F.coalesce("seq", F.lit(0))).alias("column_type"))
-    kinds = kinds.select(F.col("hospital_id").alias("_h"), F.col("_alone").alias("_a"), F.col("column_name").alias("_c"), "column_type")
-    plain = F.regexp_replace("value", "^[a-z]+:", "")
-    text = F.when(F.col("json_type") == "string", F.get_json_object(F.concat(F.lit('{"v":'), plain, F.lit("}")), "$.v")).otherwise(plain)
-    typed = cells.join(kinds, F.col("hospital_id").eqNullSafe(F.col("_h")) & F.col("_alone").eqNullSafe(F.col("_a")) & (F.col("column_name") == F.col("_c")), "left")
-    value = F.when(F.col("column_type") == "number", text.try_cast("double").cast("string")).when(F.col("column_type") == "boolean", text.try_cast("boolean").cast("string"))
-    return typed.select("hospital_id", "source_sha256", "line_no", "line_key", "column_name", "column_type", F.coalesce(value, text).alias("value"))
+    p = keyed(p).withColumn("column_name", F.when(F.col("_renames").isNull(), F.col("member")).otherwise(name)).withColumn("_alone", F.when(F.col("seq").isNull(), F.col("_s")).otherwise(""))
+    p = materialize(p.select("_h", "_s", "_alone", "seq", "member", "column_name", "json_type"), "file-columns")
+    kinds = p.where("json_type is not null").groupBy("_h", "_alone", "column_name").agg(F.max_by("json_type", F.struct(F.coalesce("seq", F.lit(0)), "json_type")).alias("column_type"))
+    named = p.join(kinds, ["_h", "_alone", "column_name"], "left").groupBy("_h", "_s").agg(F.map_from_entries(F.collect_list(F.struct("member", F.struct("column_name", "column_type")))).alias("_names"))
+    lines = keyed(rows.select("hospital_id", "source_sha256", "line_no", "line_key", "row_json"))
+    lines = salted_join(lines, named, ["_h", "_s"], F.col("line_no")).withColumn("_v", F.try_parse_json("row_json")).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    own = ["hospital_id", "source_sha256", "line_no", "line_key"]
+    cells = lines.select(*own, "_names", F.explode(_members(F.col("_v"))).alias("_key", "_value"))
+    cells = cells.select(*own, F.try_element_at("_names", norm_header(F.col("_key"))).alias("_to"), "_value", json_type(F.col("_value")).alias("_kind"))
+    cells = cells.select(*own, "_to.*", "_value", "_kind", value_text(F.col("_value"), F.col("_kind")).alias("_text"))
+    text = F.when(F.col("_kind") == "string", F.try_variant_get("_value", "$", "string")).otherwise(F.regexp_replace("_text", "^[a-z]+:", ""))
+    cells = cells.select(*own, "column_name", "column_type", text.alias("_text"))
+    cells = cells.withColumns({"number": F.when(F.col("column_type") == "number", F.col("_text").try_cast("double")), "flag": F.when(F.col("column_type") == "boolean", F.col("_text").try_cast("boolean"))})
+    return cells.select(*own, "column_name", "column_type", F.coalesce(F.col("number").cast("string"), F.col("flag").cast("string"), "_text").alias("value"), "number", "flag")

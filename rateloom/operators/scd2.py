@@ -16,7 +16,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,9 +42,9 @@ class Staged:
     drift: list[tuple[str, str, int]] = field(default_factory=list)
 
 
-def dedupe_incoming(rows: DataFrame) -> DataFrame:
+def dedupe_incoming(rows: DataFrame, by: tuple[str, ...] = ("npi",)) -> DataFrame:
     """One row a key: the latest effective date, then the smallest hash."""
-    return first_by(rows.where("npi is not null"), ["npi"], [F.desc_nulls_last("effective_date"), F.asc("row_hash")])
+    return first_by(rows.where("npi is not null"), list(by), [F.desc_nulls_last("effective_date"), F.asc("row_hash")])
 
 
 def resolve(incoming: DataFrame, current: DataFrame) -> DataFrame:
@@ -88,6 +88,13 @@ def gone(current: DataFrame, incoming: DataFrame, coverage_end: dt.date) -> Data
     return known.join(incoming.select("npi"), "npi", "left_anti")
 
 
+def superseded(log: DataFrame) -> DataFrame:
+    """Weekly files of a log, and whether a full file applied before covers them; null before the first."""
+    before = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.max(F.when((F.col("kind") == "full") & (F.col("outcome") == "applied"), F.col("coverage_end"))).over(before)
+    return log.withColumn("_full", latest).where("kind = 'weekly'").select("source_file", "coverage_end", (F.col("coverage_end") <= F.col("_full")).alias("superseded"))
+
+
 class HistoryStore:
     """The state under a path of the shared file system."""
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import analysis, gates
-from ..functions.text import clean, us_date
 from ..marts import clinical as clinical_marts
 from ..marts import identity, prices
-from ..operators import clinical, nested, snapshots
-from ..operators import relational as R
-from ..plans.materialize import materialize
-from ..plans.skew import small_join
+from ..operators import clinical, nested, scd2, snapshots
+from ..plans.materialize import materialize, scratch_path
+from ..sources import registry
 from ..sources.bundles import bundle_entries
 from .registry import Registry, Tables
 
@@ -22,68 +22,112 @@ QUERIES, ORACLES = _r.queries, _r.oracles
 
 # ---------------------------------------------------------------- change capture
 
+_KEPT = ("entity_type", "org_name", "last_name", "first_name", "credential", "practice_address_1", "practice_city", "practice_state", "practice_postal", "enumeration_date", "last_update_date", "deactivation_date", "reactivation_date")
 _DAY = "try_strptime(trim({c}), '%m/%d/%Y')::date"
-_STAGED = f"""with p as (select source_file, trim(npi) as npi, {_DAY.format(c='last_update_date')} as upd, {_DAY.format(c='deactivation_date')} as off, {_DAY.format(c='reactivation_date')} as back, nullif(trim(practice_city), '') as city, nullif(trim(org_name), '') as org from nppes_full), s as (select source_file, npi, greatest(upd, off, back) as effective_date, off, back, city, org, md5(concat_ws('|', coalesce(city, ''), coalesce(org, ''), coalesce(cast(off as varchar), ''), coalesce(cast(back as varchar), ''))) as row_hash from p)"""
-
-
-def _staged(t: Tables) -> DataFrame:
+_BLANK = "nullif({c}, '')"
+_TEXTS = {a: _DAY.format(c=a) if a.endswith("_date") else _BLANK.format(c=a) if a in _KEPT else "null" for a in registry.ATTRIBUTES} | {"primary_taxonomy": "case when primary_taxonomy <> '' and list_contains(codes, primary_taxonomy) then primary_taxonomy else nullif(taxonomy_codes[1], '') end", "taxonomy_codes": "'[' || array_to_string(codes, ', ') || ']'"}
+_HASH = "md5(concat_ws('|', " + ", ".join(f"coalesce(cast({x} as varchar), '')" for x in _TEXTS.values()) + "))"
+_TYPED = f"""t0 as (select *, list_filter(coalesce(taxonomy_codes, []), lambda x: x is not null and x <> '') as codes from nppes_full),
+t as (select source_file, npi, {_TEXTS['primary_taxonomy']} as primary_taxonomy, greatest({', '.join(_DAY.format(c=c) for c in ('last_update_date', 'deactivation_date', 'reactivation_date'))}) as effective_date, {_HASH} as row_hash, {_DAY.format(c='deactivation_date')} as off, {_DAY.format(c='reactivation_date')} as back,
+{' or '.join(f"(coalesce({c}, '') <> '' and {_DAY.format(c=c)} is null)" for c in ('enumeration_date', 'last_update_date', 'deactivation_date', 'reactivation_date'))} as bad_date, coalesce(entity_type, '') = '' and {_DAY.format(c='deactivation_date')} is not null as is_stub, cast(len(codes) as int) as n_codes from t0)"""
+_DEDUPED = _TYPED + """, d0 as (select t.*, case when off is not null and (back is null or back < off) then 'deactivated' else 'active' end as status from t where npi is not null qualify row_number() over (partition by source_file, npi order by effective_date desc nulls last, row_hash) = 1)"""
+_FILES = """f as (select source_file, max(coverage_end) as e, row_number() over (order by max(coverage_end), source_file) as seq from file_log where outcome = 'applied' and source_file in (select source_file from nppes_full) group by 1)"""
+
+
+def _raw(t: Tables) -> DataFrame:
+    """The snapshots under the columns of a registry file; the slot of the primary taxonomy carries its mark."""
     n = t.nppes_full
-    p = n.select("source_file", F.trim("npi").alias("npi"), us_date(F.col("last_update_date")).alias("upd"), us_date(F.col("deactivation_date")).alias("off"), us_date(F.col("reactivation_date")).alias("back"), clean(F.col("practice_city")).alias("city"), clean(F.col("org_name")).alias("org"))
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return p.select("source_file", "npi", F.greatest("upd", "off", "back").alias("effective_date"), "off", "back", "city", "org", F.md5(F.concat_ws("|", text("city"), text("org"), text("off"), text("back"))).alias("row_hash"))
+    slot = lambda i: F.get("taxonomy_codes", F.lit(i - 1))
+    marks = {}
+    for c in registry.HEADERS.values():
+        if c.startswith("tax_"):
+            marks[c] = slot(int(c[4:]))
+        elif c.startswith("switch_"):
+            marks[c] = F.when(slot(int(c[7:])) == F.col("primary_taxonomy"), "Y")
+        else:
+            marks[c] = F.col(c) if c in n.columns else F.lit(None).cast("string")
+    return n.select("source_file", *[v.alias(k) for k, v in marks.items()])
 
 
-@query(_STAGED + " select source_file, count(*) as rows, count(*) - count(distinct npi) as repeated, count(*) filter (where effective_date is null) as undated from s group by 1")
-def file_statistics(t: Tables) -> DataFrame:
-    return _staged(t).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) - F.countDistinct("npi")).alias("repeated"), F.count_if(F.col("effective_date").isNull()).alias("undated"))
+def _typed(t: Tables) -> DataFrame:
+    return registry.typed(_raw(t), ("source_file",))
 
 
-@query(_STAGED + " select source_file, npi, effective_date, row_hash from s qualify row_number() over (partition by source_file, npi order by effective_date desc nulls last, row_hash) = 1")
-def dedupe_incoming(t: Tables) -> DataFrame:
-    return R.first_by(_staged(t), ["source_file", "npi"], [F.desc_nulls_last("effective_date"), F.asc("row_hash")]).select("source_file", "npi", "effective_date", "row_hash")
+@query(f"with {_TYPED} select source_file, npi, primary_taxonomy, effective_date, row_hash, bad_date, is_stub, n_codes from t")
+def registry_typed(t: Tables) -> DataFrame:
+    return _typed(t).select("source_file", "npi", "primary_taxonomy", "effective_date", "row_hash", "bad_date", "is_stub", F.size("taxonomy_codes").alias("n_codes"))
 
 
-_PAIR = _STAGED + """, d as (select * from s qualify row_number() over (partition by source_file, npi order by effective_date desc nulls last, row_hash) = 1), a as (select * from d where source_file = 'registry_full_20050523-20250713.zip'), b as (select * from d where source_file = 'registry_full_20050523-20250810.zip')"""
+@query(f"with {_TYPED} select source_file, count(*) filter (where bad_date) as unparseable_date, count(*) - count(distinct npi) as duplicate_npi_in_file, count(*) filter (where effective_date is null) as no_effective_date from t group by 1")
+def file_statistics(t: Tables) -> DataFrame:
+    return registry.drift_by(_typed(t), "source_file")
 
 
-@query(_PAIR + """ select b.npi, case when a.npi is null then 'insert' when b.effective_date < a.effective_date then 'stale' when b.row_hash = a.row_hash then 'unchanged' when b.off is not null and (b.back is null or b.back < b.off) and not (a.off is not null and (a.back is null or a.back < a.off)) then 'deactivate' when not (b.off is not null and (b.back is null or b.back < b.off)) and (a.off is not null and (a.back is null or a.back < a.off)) then 'reactivate' else 'update' end as change_type from b left join a on a.npi = b.npi
-union all select a.npi, 'absent_from_full' from a where not exists (select 1 from b where b.npi = a.npi)""")
-def cdc_classify(t: Tables) -> DataFrame:
-    """Changes of one full file against the one before, absences included."""
-    d = R.first_by(_staged(t), ["source_file", "npi"], [F.desc_nulls_last("effective_date"), F.asc("row_hash")])
-    off = F.col("off").isNotNull() & (F.col("back").isNull() | (F.col("back") < F.col("off")))
-    d = d.withColumn("gone", off)
-    a = d.where("source_file = 'registry_full_20050523-20250713.zip'").select("npi", F.col("effective_date").alias("c_date"), F.col("row_hash").alias("c_hash"), F.col("gone").alias("c_gone"), F.lit(True).alias("held"))
-    b = d.where("source_file = 'registry_full_20050523-20250810.zip'")
-    j = b.join(a, "npi", "left")
-    kind = F.when(F.col("held").isNull(), "insert").when(F.col("effective_date") < F.col("c_date"), "stale").when(F.col("row_hash") == F.col("c_hash"), "unchanged").when(F.col("gone") & ~F.col("c_gone"), "deactivate").when(~F.col("gone") & F.col("c_gone"), "reactivate").otherwise("update")
-    return j.select("npi", kind.alias("change_type")).unionByName(a.join(b, "npi", "left_anti").select("npi", F.lit("absent_from_full").alias("change_type")))
+@query(f"with {_DEDUPED} select source_file, npi, effective_date, row_hash from d0")
+def dedupe_incoming(t: Tables) -> DataFrame:
+    return scd2.dedupe_incoming(_typed(t), ("source_file", "npi")).select("source_file", "npi", "effective_date", "row_hash")
 
 
-_ALL_PAIRS = _STAGED + """, f as (select source_file, row_number() over (order by max(coverage_end), source_file) as seq from file_log where outcome = 'applied' and source_file in (select source_file from nppes_full) group by 1), d as (select s.*, f.seq, off is not null and (back is null or back < off) as gone from s join f using (source_file) qualify row_number() over (partition by source_file, npi order by effective_date desc nulls last, row_hash) = 1)"""
+def _applied(t: Tables) -> list:
+    """The applied snapshots in their order; a ledger has a row a delivery."""
+    return snapshots.applied_files(t.file_log, t.nppes_full).orderBy("seq").collect()
 
 
-@query(_ALL_PAIRS + """ select b.source_file, b.npi, case when a.seq is null then 'insert' when b.effective_date < a.effective_date then 'stale' when b.row_hash = a.row_hash then 'unchanged' when b.gone and not a.gone then 'deactivate' when not b.gone and a.gone then 'reactivate' else 'update' end as change_type from d b left join d a on a.npi = b.npi and a.seq + 1 = b.seq where b.seq > 1
-union all select f.source_file, a.npi, 'absent_from_full' from d a join f on f.seq = a.seq + 1 where not exists (select 1 from d b where b.npi = a.npi and b.seq = a.seq + 1)""")
-def cdc_classify_all(t: Tables) -> DataFrame:
-    """Changes of every applied full file against the one before by coverage_end, absences included; source_file is the later one."""
-    files = materialize(snapshots.applied_files(t.file_log, t.nppes_full), "files").select("source_file", "seq")
-    d = R.first_by(_staged(t), ["source_file", "npi"], [F.desc_nulls_last("effective_date"), F.asc("row_hash")])
-    d = small_join(d.withColumn("gone", F.col("off").isNotNull() & (F.col("back").isNull() | (F.col("back") < F.col("off")))), files, ["source_file"])
-    a = d.select("npi", (F.col("seq") + 1).alias("seq"), F.col("effective_date").alias("c_date"), F.col("row_hash").alias("c_hash"), F.col("gone").alias("c_gone"), F.lit(True).alias("held"))
-    b = d.select("npi", "seq", "effective_date", "row_hash", "gone", F.lit(True).alias("given"))
-    kind = F.when(F.col("given").isNull(), "absent_from_full").when(F.col("held").isNull(), "insert").when(F.col("effective_date") < F.col("c_date"), "stale").when(F.col("row_hash") == F.col("c_hash"), "unchanged").when(F.col("gone") & ~F.col("c_gone"), "deactivate").when(~F.col("gone") & F.col("c_gone"), "reactivate").otherwise("update")
-    return small_join(b.join(a, ["npi", "seq"], "full"), files.where("seq > 1"), ["seq"]).select("source_file", "npi", kind.alias("change_type"))
+@query(f"""with {_DEDUPED}, {_FILES}, d as (select d0.*, f.seq, f.e from d0 join f using (source_file))
+select b.source_file, b.npi, case when a.seq is null then 'insert' when b.effective_date < a.effective_date then 'stale' when b.row_hash = a.row_hash and b.status = a.status then 'unchanged' when b.status = 'deactivated' and a.status <> 'deactivated' then 'deactivate' when b.status = 'active' and a.status = 'deactivated' then 'reactivate' else 'update' end as change_type from d b left join d a on a.npi = b.npi and a.seq + 1 = b.seq where b.seq > 1
+union all select f.source_file, a.npi, 'absent_from_full' from d a join f on f.seq = a.seq + 1 where coalesce(a.effective_date, date '1900-01-01') <= f.e and not exists (select 1 from d b where b.npi = a.npi and b.seq = a.seq + 1)""")
+def cdc_classify(t: Tables) -> DataFrame:
+    """Changes of every applied full file against the one before it as the current state, absences included."""
+    rows = materialize(scd2.dedupe_incoming(_typed(t), ("source_file", "npi")), "incoming")
+    files = _applied(t)
+    parts = []
+    for a, b in zip(files, files[1:]):
+        off = F.col("deactivation_date").isNotNull() & (F.col("reactivation_date").isNull() | (F.col("reactivation_date") < F.col("deactivation_date")))
+        current = rows.where(F.col("source_file") == a["source_file"]).withColumns({"version": F.lit(1), "status": F.when(off, "deactivated").otherwise("active"), "valid_from": F.col("effective_date"), "file_end": F.lit(a["coverage_end"])})
+        incoming = rows.where(F.col("source_file") == b["source_file"])
+        found = scd2.classify(scd2.resolve(incoming, current), b["coverage_end"]).select("npi", "change_type")
+        lost = scd2.gone(current, incoming, b["coverage_end"]).select("npi", F.lit(scd2.ABSENT).alias("change_type"))
+        parts.append(found.unionByName(lost).select(F.lit(b["source_file"]).alias("source_file"), "npi", "change_type"))
+    return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0).select("source_file", "npi", F.lit("").alias("change_type"))
+
+
+_SYNC = f"""with recursive {_FILES}, {_DEDUPED}, d as (select d0.*, f.seq from d0 join f using (source_file)),
+k as (select distinct npi from d), g as (select k.npi, f.seq, f.e, f.source_file, d.npi is not null as given, d.effective_date as eff, d.row_hash as h, d.status as st from k cross join f left join d on d.npi = k.npi and d.seq = f.seq),
+w as (select npi, cast(0 as bigint) as seq, 0 as version, cast(null as varchar) as h, cast(null as date) as eff, cast(null as varchar) as st, cast(null as date) as vf, cast(null as varchar) as kind, cast(null as varchar) as source_file from k
+union all select n.npi, n.seq, case when opens then n.version + 1 else n.version end, case when opens and not lost then n.gh else n.h end, case when opens and not lost then n.geff else n.eff end, case when lost then 'absent_from_full' when opens then n.gst else n.st end,
+case when lost then n.e when opens then case when n.st = 'absent_from_full' then greatest(n.geff, n.vf) else coalesce(n.geff, case when n.version > 0 then n.e end) end else n.vf end, n.kind, n.source_file from (
+select *, kind = 'absent_from_full' as lost, kind in ('insert', 'update', 'deactivate', 'reactivate', 'absent_from_full') as opens from (
+select w.npi, g.seq, g.e, g.source_file, w.version, w.h, w.eff, w.st, w.vf, g.h as gh, g.eff as geff, g.st as gst, case when not g.given then case when w.version > 0 and w.st <> 'absent_from_full' and coalesce(w.vf, date '1900-01-01') <= g.e then 'absent_from_full' else 'none' end
+when w.version = 0 then 'insert' when coalesce(g.eff < w.eff, false) then 'stale' when g.h = w.h and g.st = w.st then 'unchanged' when g.st = 'deactivated' and w.st <> 'deactivated' then 'deactivate' when g.st = 'active' and w.st in ('deactivated', 'absent_from_full') then 'reactivate' else 'update' end as kind
+from w join g on g.npi = w.npi and g.seq = w.seq + 1)) n)"""
+
+
+def _synced(t: Tables) -> scd2.HistoryStore:
+    rows = materialize(_typed(t), "typed")
+    store = scd2.HistoryStore(t.spark, scratch_path(t.spark, "history"))
+    for f in _applied(t):
+        mine = rows.where(F.col("source_file") == f["source_file"]).drop("source_file")
+        store.apply(scd2.Staged(f["source_file"], "full", f["coverage_end"], f["coverage_end"], mine))
+    return store
+
+
+@query(_SYNC + """, o as (select * from w where kind in ('insert', 'update', 'deactivate', 'reactivate', 'absent_from_full'))
+select npi, version, status, change_type, valid_from, lead(valid_from) over (partition by npi order by version) as valid_to, lead(version) over (partition by npi order by version) is null as is_current, source_file from (select npi, version, st as status, kind as change_type, vf as valid_from, source_file from o)""")
+def history_sync(t: Tables) -> DataFrame:
+    """All applied snapshots merged one after the other into a type-2 history."""
+    return _synced(t).history().select("npi", "version", "status", "change_type", "valid_from", "valid_to", "is_current", "source_file")
+
+
+@query(_SYNC + """ select cast(w.seq as int) as seq, w.source_file, (select count(*) from nppes_full n where n.source_file = w.source_file) as rows, count(*) filter (where kind = 'insert') as inserted, count(*) filter (where kind = 'update') as updated, count(*) filter (where kind = 'deactivate') as deactivated, count(*) filter (where kind = 'reactivate') as reactivated, count(*) filter (where kind = 'unchanged') as unchanged, count(*) filter (where kind = 'stale') as stale_skipped, count(*) filter (where kind = 'absent_from_full') as absent_from_full from w where w.seq > 0 group by 1, 2""")
+def history_ledger(t: Tables) -> DataFrame:
+    """What each snapshot did to the history."""
+    return _synced(t).ledger().select("seq", "source_file", "rows", "inserted", "updated", "deactivated", "reactivated", "unchanged", "stale_skipped", "absent_from_full")
 
 
 @query("select w.source_file, w.coverage_end, w.coverage_end <= (select max(f.coverage_end) from file_log f where f.kind = 'full' and f.outcome = 'applied' and f.seq < w.seq) as superseded from file_log w where w.kind = 'weekly'")
 def superseded_files(t: Tables) -> DataFrame:
     """Weekly files that an earlier applied full file covers."""
-    from pyspark.sql import Window
-
-    before = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.max(F.when((F.col("kind") == "full") & (F.col("outcome") == "applied"), F.col("coverage_end"))).over(before)
-    return t.file_log.withColumn("_full", latest).where("kind = 'weekly'").select("source_file", "coverage_end", (F.col("coverage_end") <= F.col("_full")).alias("superseded"))
+    return scd2.superseded(t.file_log)
 
 
 # ---------------------------------------------------------------- gates

@@ -57,7 +57,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_table(spark: SparkSession, d: str) -> DataFrame:
     """All lines of all files under consistent names and types."""
     rows, files = table(spark, d, "hpt_json_rows"), table(spark, d, "stg_hpt__files")
-    return drift.consistent_table(rows, files, drift.schema_changes(rows, files))
+    prof = materialize(drift.profiles(rows), "profiles")
+    return drift.consistent_table(rows, files, drift.schema_changes(rows, files, prof), prof)
 
 
 #: What is no rate: the filler of suppressed values.
@@ -84,7 +85,8 @@ def p5_hospitals(spark: SparkSession, d: str) -> DataFrame:
     days = quantiles.radix_summary(ok.withColumn("day", F.to_date("loaded_at")), ["hospital_id", "day"], "negotiated_rate")
     # what is stored: one portion a day, which other days are added to later
     days = materialize(days, "day-summaries")
-    return quantiles.summary_percentiles(quantiles.merge_summaries(days.drop("day")), ["hospital_id"], [0.25, 0.5, 0.75, 0.9])
+    merged = quantiles.summary_percentiles(quantiles.merge_summaries(days.drop("day")), ["hospital_id"], [0.25, 0.5, 0.75, 0.9])
+    return merged.select("hospital_id", "n", *[F.round(c, 4).alias(c) for c in ("p25", "p50", "p75", "p90")])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -192,3 +194,21 @@ _INDEX = "(\\[[0-9]+\\])*"
 ORACLES["p6_charges"] = f"""with v as (select record_id, case when json_valid(body) then body end as body from nested_records where record_kind = 'hpt_file'),
 t as (select v.record_id, substr(j.fullkey, 3) as row_path, j.value as x from v, json_tree(v.body) j where v.body is not null and j.type = 'OBJECT' and regexp_full_match(j.fullkey, '\\$\\.standard_charge_information{_INDEX}\\.standard_charges{_INDEX}\\.payers_information{_INDEX}'))
 select record_id, row_path, regexp_replace(row_path, '\\.payers_information{_INDEX}$', '') as parent_path, cast(nullif(regexp_extract(row_path, '\\[([0-9]+)\\]$', 1), '') as int) as ordinal, {', '.join(f"case when json_type(x, '$.{m}') not in ('OBJECT', 'ARRAY') then json_extract_string(x, '$.{m}') end as {m}" for m in ('payer_name', 'plan_name', 'standard_charge_dollar'))} from t""".replace("\\\\", "\\")
+
+# p4_table: the names a member ends under, by following its renames, and the type of the latest file that has the column
+_RENAMES = ORACLES["p4_found"].replace("with d as", "with recursive d as", 1).split("select source_sha256, 'renamed'")[0].rstrip()
+_RENAMES = _RENAMES.replace("x as (select hospital_id, source_sha256, line_key,", "x as (select hospital_id, source_sha256, line_no, line_key,").replace("o.seq, line_key,", "o.seq, line_no, line_key,")
+ORACLES["p4_table"] = _RENAMES + """, nm as (select hospital_id, seq, m, m as cur, seq as pos from p union all select nm.hospital_id, nm.seq, nm.m, r.b, r.seq from nm join r on r.hospital_id = nm.hospital_id and r.a = nm.cur and r.seq > nm.pos and not exists (select 1 from r r2 where r2.hospital_id = nm.hospital_id and r2.a = nm.cur and r2.seq > nm.pos and r2.seq < r.seq)),
+fn as (select hospital_id, seq, m, arg_max(cur, pos) as c from nm group by all),
+kt as (select fn.hospital_id, fn.c, max({'s': p.seq, 't': p.t}).t as ct from fn join p using (hospital_id, seq, m) where p.t is not null group by all),
+z as (select c.hospital_id, c.source_sha256, c.line_no, c.line_key, fn.c as column_name, kt.ct as column_type, case when c.t = 'string' then json_extract_string(c.j, '$') when c.t = 'number' then cast(cast(c.j as double) as varchar) when c.t is not null then cast(c.j as varchar) end as x from c join fn using (hospital_id, seq, m) left join kt on kt.hospital_id = c.hospital_id and kt.c = fn.c),
+w as (select *, case when column_type = 'number' then try_cast(trim(x) as double) end as number, case when column_type = 'boolean' then try_cast(x as boolean) end as flag from z)
+select hospital_id, source_sha256, line_no, line_key, column_name, column_type, case when number is null and flag is null then x end as value, number, flag from w"""
+
+ORACLES["p2_changed_fields"] = _SNAPS + " " + " union all ".join(f"select b.seq, '{c if c != 'codes' else 'taxonomy_codes'}' as field, count(*) as changed from s a join s b on a.npi = b.npi and a.seq + 1 = b.seq where a.{c} is distinct from b.{c} group by 1, 2" for c in _ALL.split(", "))
+
+# a summary keeps 20 bits of the fraction
+ORACLES["p5_hospitals"] = """with o as (select distinct charge_id, hospital_id, lower(trim(payer_name)) as payer, negotiated_rate as v, loaded_at from fct_standard_charges where negotiated_rate > 0 and not isnan(negotiated_rate) and negotiated_rate <> 999999999 and charge_id is not null),
+k as (select * from o qualify row_number() over (partition by charge_id order by loaded_at desc, hospital_id desc, payer desc, v desc) = 1),
+g as (select hospital_id, floor(v / pow(2.0, floor(log2(v)) - 20)) * pow(2.0, floor(log2(v)) - 20) as v from k where hospital_id is not null)
+select hospital_id, count(*) as n, round(quantile_cont(v, 0.25), 4) as p25, round(median(v), 4) as p50, round(quantile_cont(v, 0.75), 4) as p75, round(quantile_cont(v, 0.9), 4) as p90 from g group by 1"""
