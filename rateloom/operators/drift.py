@@ -260,8 +260,8 @@ def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame, prof
     """(hospital_id, source_sha256, line_no, line_key, column_name, column_type, value, number, flag): all lines in one table.
 
     Every member goes under the name it has in the hospital's latest file and is cast to the type it
-    has there; renames are followed through all later files. value is its text, number and flag are the cast value of a
-    number or boolean column, null where it cannot be cast (the text then is as it was). A file without a place
+    has there; renames are followed through all later files. A value stands in number or flag in a column of numbers or
+    booleans, else, and where it cannot be cast, in value as text. A file without a place
     in the order (undated, unlisted or without hospital) stands alone: its lines are kept under their own names,
     cast to the types of that file. A line that is no JSON object has no members.
 
@@ -288,4 +288,4 @@ def consistent_table(rows: DataFrame, files: DataFrame, changes: DataFrame, prof
     text = F.when(F.col("_kind") == "string", F.try_variant_get("_value", "$", "string")).otherwise(F.regexp_replace("_text", "^[a-z]+:", ""))
     cells = cells.select(*own, "column_name", "column_type", text.alias("_text"))
     cells = cells.withColumns({"number": F.when(F.col("column_type") == "number", F.col("_text").try_cast("double")), "flag": F.when(F.col("column_type") == "boolean", F.col("_text").try_cast("boolean"))})
-    return cells.select(*own, "column_name", "column_type", F.coalesce(F.col("number").cast("string"), F.col("flag").cast("string"), "_text").alias("value"), "number", "flag")
+    return cells.select(*own, "column_name", "column_type", F.when(F.col("number").isNull() & F.col("flag").isNull(), F.col("_text")).alias("value"), "number", "flag")

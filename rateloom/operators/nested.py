@@ -23,6 +23,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.materialize import materialize
+
 TRIPLES = "path string, pattern string, ordinals array<int>, name string, value string, json_type string, parent string, entity string, entity_name string"
 
 _TEXT = r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
@@ -319,7 +321,7 @@ def _owned(children: DataFrame, owners: DataFrame, record: str, owner: str) -> D
 
 def references(records: DataFrame, record: str = "record_id", body: str = "body") -> DataFrame:
     """Every text member named `reference` of bundles, tied to the id of the nearest enclosing resource."""
-    t = json_triples(records, record, body, ("reference", "id"), "resourceType", "Bundle")
+    t = materialize(json_triples(records, record, body, ("reference", "id"), "resourceType", "Bundle"), "triples")
     # a text in a list named reference is an element of the list, not the member itself
     refs = t.where("name = 'reference' and json_type = 'string' and path not like '%]'").select(record, "path", F.col("value").alias("item_value"), F.col("entity").alias("parent_path"))
     return _owned(refs, entity_table(t, record, ["id"]), record, "id").select(record, "owner", "path", "item_value")
@@ -328,7 +330,7 @@ def references(records: DataFrame, record: str = "record_id", body: str = "body"
 def modifier_payers(records: DataFrame, record: str = "record_id", body: str = "body") -> DataFrame:
     """Every non-empty payer_name of the payer entries of modifiers, tied to the modifier's code."""
     at, inner = "modifier_information", "modifier_payer_information"
-    t = json_triples(records, record, body, (at, inner, "payer_name", "code"), containers=True)
+    t = materialize(json_triples(records, record, body, (at, inner, "payer_name", "code"), containers=True), "triples")
     modifiers = table_of(t, record, at, ["code"])
     payers = table_of(t, record, f"{at}.{inner}", ["payer_name"], ("payer_name",)).where("payer_name <> ''")
     found = _owned(payers, modifiers, record, "code")

@@ -217,10 +217,20 @@ def test_unlike_names_are_matched_by_values_and_kept_one_to_one():
     assert [g[:2] for g in got][:1] == [("gross", "chargemaster")] and len({g[0] for g in got}) == len(got) == len({g[1] for g in got})
 
 
+def flat(t):
+    return t.withColumn("value", F.coalesce(F.col("number").cast("string"), F.col("flag").cast("string"), "value"))
+
+
+def test_members_of_a_schema_text():
+    text = "OBJECT<``: BIGINT, `A:B<c>, d`: NUMBER, `a | b`: DECIMAL(3,1), arr: ARRAY<OBJECT<u: BIGINT, `x>`: VOID>>, n: VOID, o: OBJECT<k: ARRAY<VARIANT>, `q``z`: BIGINT>, t: BOOLEAN, x: STRING>"
+    assert [m[:2] for m in drift.members_of(text)] == [("", "number"), ("A:B<c>, d", "number"), ("a | b", "number"), ("arr", "array"), ("n", None), ("o", "object"), ("t", "boolean"), ("x", "string")]
+    assert drift.members_of(text)[5][2].startswith("OBJECT<k") and drift.members_of("OBJECT<>") == ()
+
+
 def test_lines_in_one_table(spark, rows):
     data, listed = schema_tables(spark, [['{"old": "5", "x": 1}', '{"old": "6"}'], ['{"mid": "5"}', '{"mid": "6"}'], ['{"last": 5}', '{"last": 6}']])
     changes = drift.schema_changes(data, listed)
-    t = drift.consistent_table(data, listed, changes)
+    t = flat(drift.consistent_table(data, listed, changes))
     assert rows(t.where("source_sha256 = 's0'"), "column_name", "column_type", "value") == [("last", "number", "5.0"), ("last", "number", "6.0"), ("x", "number", "1.0")] or rows(t.where("source_sha256 = 's0'"), "column_name") == [("mid",), ("mid",), ("x",)]
 
 
@@ -229,7 +239,7 @@ def test_lines_of_unplaced_files_are_in_the_table(spark, rows):
     more = [("h", "undated", 0, "0", '{"OLD | x": "7", "old": "8"}'), ("h", "undated", 1, "1", "no json"), ("h", "unlisted", 0, "0", '{"last": "9"}'), (None, "s9", 0, "0", '{"last": true}'), (None, None, 0, "0", '{"a": 1}'), ("g", "s0", 0, "0", '{"old": "1"}')]
     data = data.unionByName(spark.createDataFrame(more, LINES))
     listed = listed.unionByName(spark.createDataFrame([("undated", None), ("s9", "2024-03-01")], listed.schema))
-    t = drift.consistent_table(data, listed, drift.schema_changes(data, listed))
+    t = flat(drift.consistent_table(data, listed, drift.schema_changes(data, listed)))
     want = [("h", "s0", 0, "last", "number", "5.0"), ("h", "s0", 1, "last", "number", "6.0"), ("h", "s1", 0, "last", "number", "5.0"), ("h", "s1", 1, "last", "number", "6.0"), ("h", "undated", 0, "old|x", "string", "7"), ("h", "undated", 0, "old", "string", "8")]
     # a line that is no JSON object has no members
     want += [("h", "unlisted", 0, "last", "string", "9"), (None, "s9", 0, "last", "boolean", "true"), (None, None, 0, "a", "number", "1.0"), ("g", "s0", 0, "old", "string", "1")]
