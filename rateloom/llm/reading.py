@@ -66,15 +66,10 @@ def looks_like_code(lines: list[str]) -> bool:
     return code > prose
 
 
-def looks_like_text(lines: list[str]) -> bool:
+def looks_like_text(rest: list[str]) -> bool:
     """Whether most lines outside fences and comments are sentences; tells code files with a wrong ending."""
-    prose = other = 0
-    for s in _read(lines)[1]:
-        if not _CODE.search(s) and _SENTENCE.match(s):
-            prose += 1
-        else:
-            other += 1
-    return prose > other
+    prose = sum(1 for s in rest if not _CODE.search(s) and _SENTENCE.match(s))
+    return 2 * prose > len(rest)
 
 
 def _unfenced(lines: list[str]) -> list[str]:
@@ -93,11 +88,16 @@ def prose_of(text: str, path: str | None) -> str:
     name = (path or "").rsplit("/", 1)[-1]
     ending = name.rsplit(".", 1)[-1].lower() if "." in name else ""
     lines = _BREAK.split(text)
-    outside = _unfenced(lines)
-    named = ending in TEXT_ENDINGS or (not ending and TEXT_NAMES.match(name))
-    if not looks_like_code(outside) if named else looks_like_text(outside):
+    fenced = "```" in text or "~~~" in text
+    outside = _unfenced(lines) if fenced else lines
+    if ending in TEXT_ENDINGS or (not ending and TEXT_NAMES.match(name)):
+        if not looks_like_code(outside):
+            return "\n".join(outside)
+        return "\n".join(_read(lines)[0])
+    comments, rest = _read(outside)
+    if looks_like_text(rest):
         return "\n".join(outside)
-    return "\n".join(_read(lines)[0])
+    return "\n".join(_read(lines)[0] if fenced else comments)
 
 
 def _read(lines: list[str]) -> tuple[list[str], list[str]]:
