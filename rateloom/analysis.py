@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .operators.quantiles import radix_percentiles
 from .operators.relational import histogram, ratio
 
 
@@ -60,7 +61,9 @@ def contracted(rates: DataFrame, a: str, b: str) -> DataFrame:
 
 def cash_policy(charges: DataFrame) -> DataFrame:
     ok = charges.where("gross_charge > 0 and discounted_cash is not null")
-    return ok.groupBy("hospital_id").agg(F.round(F.median(F.col("discounted_cash") / F.col("gross_charge")), 6).alias("cash_to_gross"), F.round(F.avg((F.col("discounted_cash") == F.col("gross_charge")).cast("double")), 6).alias("share_equal"))
+    mid = radix_percentiles(ok.select("hospital_id", (F.col("discounted_cash") / F.col("gross_charge")).alias("_ratio")), ["hospital_id"], "_ratio", [0.5])
+    same = ok.groupBy("hospital_id").agg(F.round(F.avg((F.col("discounted_cash") == F.col("gross_charge")).cast("double")), 6).alias("share_equal"))
+    return same.join(mid.select(F.col("hospital_id").alias("_h"), F.round("p50", 6).alias("cash_to_gross")), F.col("hospital_id").eqNullSafe(F.col("_h"))).select("hospital_id", "cash_to_gross", "share_equal")
 
 
 def list_equals_rate(charges: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def addr_key(street: Column, zip5: Column) -> Column:
     """'<house number> <first token that is no direction> <zip5>'; null unless the first token is all digits."""
     tokens = addr_tokens(street)
     directions = ["N", "S", "E", "W", "NORTH", "SOUTH", "EAST", "WEST"]
-    rest = F.filter(F.slice(tokens, 2, 1_000), lambda t: ~t.isin(directions))
+    rest = F.filter(F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(1))), lambda t: ~t.isin(directions))
     first = F.get(tokens, F.lit(0))
     return F.when(full_match(first, "[0-9]+"), F.concat(first, F.lit(" "), F.coalesce(F.get(rest, F.lit(0)), F.lit("")), F.lit(" "), zip5))
 

@@ -10,13 +10,17 @@ from ..plans.skew import small_join
 
 
 def standard_charges(charges: DataFrame, files: DataFrame) -> DataFrame:
-    """Each charge with its file's name and date; files has one row for each file."""
-    f = files.select("hospital_id", "source_sha256", "hospital_name", F.col("last_updated_on").alias("source_last_updated_on")).dropDuplicates(["hospital_id", "source_sha256"])
+    """Each charge with its file's name and date; of a file that is listed twice the least of each."""
+    f = files.groupBy("hospital_id", "source_sha256").agg(F.min("hospital_name").alias("hospital_name"), F.min("last_updated_on").alias("source_last_updated_on"))
     return small_join(charges.drop("count_raw"), f, ["hospital_id", "source_sha256"])
 
 
 def price_summary(charges: DataFrame, codes: DataFrame, keys: tuple[str, ...] = ("hospital_id", "code_family", "code", "setting")) -> DataFrame:
-    """Counts and percentiles by code and setting; a missing setting is `unspecified`. Codes are made distinct before the fan-out."""
+    """Counts and percentiles by code and setting; a missing setting is `unspecified`. Codes are made distinct before the fan-out.
+
+    A group holds the rates of one code at one hospital, which its payers and plans bound; percentiles of whole hospitals
+    are for quantiles.radix_percentiles.
+    """
     family = F.coalesce("code_family", "declared_type") if "code_family" in codes.columns else F.col("declared_type")
     k = codes.where("code is not null").select("item_id", "code", family.alias("code_family")).distinct()
     j = charges.withColumn("setting", F.coalesce("setting", F.lit("unspecified"))).join(k, "item_id")
@@ -29,7 +33,7 @@ def price_summary(charges: DataFrame, codes: DataFrame, keys: tuple[str, ...] =
 
 def conformance(drift: DataFrame, files: DataFrame) -> DataFrame:
     """Drift by file with its share of the records read."""
-    f = files.select("hospital_id", "source_sha256", "hospital_name", "records_read").dropDuplicates(["hospital_id", "source_sha256"])
+    f = files.groupBy("hospital_id", "source_sha256").agg(F.min("hospital_name").alias("hospital_name"), F.max("records_read").alias("records_read"))
     j = small_join(drift, f, ["hospital_id", "source_sha256"])
     return j.select("hospital_id", "hospital_name", "source_sha256", "kind", "column", "n", ratio(F.col("n"), F.col("records_read"), 6).alias("share_of_records"), "first_locator", "sample_value")
 

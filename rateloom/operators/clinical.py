@@ -73,7 +73,15 @@ def mapped_paths() -> dict[str, set[str]]:
 
 
 def value_at(v: Column, paths: str, kind: str) -> Column:
-    found = F.coalesce(*[F.try_variant_get(v, "$." + p, "string" if kind == "urn" else kind) for p in paths.split("|")])
+    """The first scalar among paths; an object or list where a text is due is none."""
+
+    def one(path: str) -> Column:
+        if kind not in ("string", "urn"):
+            return F.try_variant_get(v, "$." + path, kind)
+        shape = F.schema_of_variant(F.try_variant_get(v, "$." + path, "variant"))
+        return F.when(~shape.startswith("OBJECT") & ~shape.startswith("ARRAY"), F.try_variant_get(v, "$." + path, "string"))
+
+    found = F.coalesce(*[one(p) for p in paths.split("|")])
     return F.when(found.startswith(URN), F.substr(found, F.lit(len(URN) + 1))) if kind == "urn" else found
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ from ..plans.skew import salted_join
 AGREE = 0.5
 #: Residual and rounds at which the propagation ends, and the least score of a correspondence relative to its column's best.
 EPSILON, ROUNDS, RELATIVE = 1e-3, 50, 0.5
-#: Pairs of files that one task matches.
-PAIRS = 100
+#: Pairs of files that one task matches, and members of files that one task counts before it hands them on.
+PAIRS, MOST_SEEN = 100, 500_000
 _TYPES = ("array", "boolean", "number", "object", "string")
 
 
@@ -90,24 +91,34 @@ def members_of(schema: str) -> tuple[tuple[str, str | None, str | None], ...]:
 def profiles(rows: DataFrame, body: str = "row_json") -> DataFrame:
     """(hospital_id, source_sha256, member, json_type, shape, keys): one row for each member of a file.
 
-    A line is parsed once and gives nothing but the text of its schema; lines of a file are counted by that text, of
-    which there are few, and only those are taken apart. keys are the names the member has in the lines.
+    A line is parsed once and gives nothing but the text of its schema. Lines are counted by that text where they are read, a
+    text is taken apart once, and what leaves a task is a row for each member of a file: no line is shuffled.
     """
     schema = F.schema_of_variant(F.try_parse_json(body))
     schema = F.regexp_replace(schema, r": (?:BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\))(?=[,>])", ": NUMBER")
-    counts = rows.select("hospital_id", "source_sha256", schema.alias("schema")).where(F.col("schema").startswith("OBJECT<")).groupBy("hospital_id", "source_sha256", "schema").agg(F.count(F.lit(1)).alias("n"))
+    texts = rows.select("hospital_id", "source_sha256", schema.alias("schema")).where(F.col("schema").startswith("OBJECT<"))
 
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
-            found = [(i, *m) for i, text in enumerate(b.column(2).to_pylist()) for m in members_of(text)]
-            if found:
-                at, key, kind, shape = zip(*found)
-                own = [b.column(i).take(pa.array(at)) for i in (0, 1, 3)]
-                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, pa.string()) for c in (key, kind, shape)]], names=["hospital_id", "source_sha256", "n", "key", "json_type", "shape"])
+        seen: Counter = Counter()
+
+        def table():
+            cols = zip(*[(h, f, n, *m) for (h, f, m), n in seen.items()])
+            types = [pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["hospital_id", "source_sha256", "n", "key", "json_type", "shape"])
 
-    cells = counts.mapInArrow(run, "hospital_id string, source_sha256 string, n bigint, key string, json_type string, shape string")
+        for b in batches:
+            for (h, f, text), n in Counter(zip(*[c.to_pylist() for c in b.columns])).items():
+                for m in members_of(text):
+                    seen[h, f, m] += n
+            if len(seen) > MOST_SEEN:
+                yield table()
+                seen.clear()
+        if seen:
+            yield table()
+
+    cells = texts.mapInArrow(run, "hospital_id string, source_sha256 string, n bigint, key string, json_type string, shape string")
     counted = [F.coalesce(F.sum(F.when(F.col("json_type") == t, F.col("n"))), F.lit(0)).alias(t) for t in _TYPES]
     p = cells.groupBy("hospital_id", "source_sha256", norm_header(F.col("key")).alias("member")).agg(*counted, F.max("shape").alias("shape"), F.collect_set("key").alias("keys"))
     most = F.greatest(*_TYPES)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from .. import analysis, gates
 from ..marts import clinical as clinical_marts
 from ..marts import identity, prices
-from ..operators import clinical, nested, scd2, snapshots
+from ..operators import clinical, nested, quarantine, scd2, snapshots
 from ..plans.materialize import materialize, scratch_path
 from ..sources import registry
 from ..sources.bundles import bundle_entries
+from . import problems
 from .registry import Registry, Tables
 
 _r = Registry()
@@ -169,6 +170,61 @@ def gate_identifier_format(t: Tables) -> DataFrame:
     return gates.matches(n, "npi", "[0-9]{10}").distinct()
 
 
+@query("select npi, version from provider_history where valid_to < valid_from or (is_current and valid_to is not null) or (not is_current and valid_to is null)")
+def gate_intervals_valid(t: Tables) -> DataFrame:
+    return gates.intervals_valid(t.provider_history).select("npi", "version")
+
+
+@query("select npi, count(*) as n, count(distinct version) as d, min(version) as low, max(version) as high from provider_history group by 1 having count(*) <> count(distinct version) or min(version) <> 1 or max(version) <> count(*)")
+def gate_versions_dense(t: Tables) -> DataFrame:
+    return gates.versions_dense(t.provider_history, "npi")
+
+
+@query("select distinct b.npi, b.version from provider_history a join provider_history b on a.npi = b.npi and a.version < b.version and (b.valid_from is null or b.valid_from < coalesce(b.valid_to, date '9999-12-31')) and (a.valid_from is null or a.valid_from < coalesce(a.valid_to, date '9999-12-31')) and b.valid_from < coalesce(a.valid_to, date '9999-12-31')")
+def gate_history_overlaps(t: Tables) -> DataFrame:
+    return gates.history_overlaps(t.provider_history, "npi")
+
+
+@query("select count(*) as n, count(distinct line_no) as d, min(line_no) as low, max(line_no) as high from nppes_changes having count(*) > 0 and (count(*) <> count(distinct line_no) or min(line_no) <> 1 or max(line_no) <> count(*))")
+def gate_dense(t: Tables) -> DataFrame:
+    return gates.dense(t.nppes_changes, "line_no")
+
+
+@query("select source_sha256, count(*) as n from stg_hpt__files where source_sha256 is not null group by 1 having count(*) > 1")
+def gate_unique(t: Tables) -> DataFrame:
+    return gates.unique(t.stg_hpt__files, "source_sha256")
+
+
+@query("select charge_id, loaded_at from fct_standard_charges where payer_name is null or negotiated_rate is null")
+def gate_not_null(t: Tables) -> DataFrame:
+    return gates.not_null(t.fct_standard_charges, "payer_name", "negotiated_rate").select("charge_id", "loaded_at")
+
+
+_READ = problems.ORACLES["p1_found"].split("u as (select")[0].rstrip().rstrip(",")
+_COUNTS = _READ + f""", bad as ({problems.ORACLES['p1_found']}), files as (select k.source_sha256, count(distinct k.record_no) as records_read, count(distinct bad.record_no) as quarantined_rows from k left join bad on bad.source_sha256 = k.source_sha256 and bad.record_no = k.record_no group by 1)"""
+
+
+def _file_counts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(counts of each price file, its valid rows)."""
+    rows = quarantine.read_permissive(t.hpt_csv_records)
+    bad = quarantine.reclassify(rows).groupBy("source_sha256").agg(F.count(F.lit(1)).alias("quarantined_rows"))
+    valid = quarantine.valid_rows(rows)
+    good = valid.groupBy("hospital_id", "source_sha256").agg(F.count(F.lit(1)).alias("charge_rows"))
+    files = good.join(bad, "source_sha256", "left").withColumn("quarantined_rows", F.coalesce("quarantined_rows", F.lit(0))).withColumn("records_read", F.col("charge_rows") + F.col("quarantined_rows"))
+    return files, valid
+
+
+@query(_COUNTS + " select source_sha256, records_read, quarantined_rows from files where quarantined_rows > records_read * 0.01")
+def gate_quarantine_share(t: Tables) -> DataFrame:
+    return gates.quarantine_share(_file_counts(t)[0]).select("source_sha256", "records_read", "quarantined_rows")
+
+
+@query(_COUNTS + " select source_sha256, records_read from files where records_read = 0")
+def gate_rows_kept(t: Tables) -> DataFrame:
+    files, valid = _file_counts(t)
+    return gates.rows_kept(files, valid).select("source_sha256", "records_read")
+
+
 # ---------------------------------------------------------------- clinical
 
 
@@ -177,49 +233,142 @@ def _entries(t: Tables) -> DataFrame:
     return materialize(bundle_entries(rows), "entries")
 
 
-@query()
+_B = """b as (select cast(record_id as varchar) as bundle_sha256, case when json_valid(body) then cast(body as json) end as j from nested_records where record_kind = 'fhir_bundle'),
+b1 as (select bundle_sha256, j, case when json_type(j -> '$.entry') = 'ARRAY' then cast(j -> '$.entry' as json[]) when json_type(j -> '$.entry') = 'OBJECT' then [j -> '$.entry'] else [] end as xs from b where json_type(j) = 'OBJECT' and j ->> '$.resourceType' = 'Bundle'),
+b2 as (select bundle_sha256, unnest(xs) as x, unnest(range(len(xs))) as entry from b1),
+e as (select bundle_sha256, entry, x, json_extract(x, '$.resource') as r, x ->> '$.resource.resourceType' as rt, case when json_type(x, '$.resource.id') = 'VARCHAR' then nullif(x ->> '$.resource.id', '') end as id, json_extract_string(x, '$.fullUrl') as url from b2 where json_type(x, '$.resource') = 'OBJECT' and json_type(x, '$.resource.resourceType') = 'VARCHAR')"""
+
+
+def _at(x: str, paths: str, kind: str) -> str:
+    one = lambda q: f"case when json_type({x}, '$.{q}') not in ('OBJECT', 'ARRAY', 'NULL') then json_extract_string({x}, '$.{q}') end"
+    v = "coalesce(" + ", ".join(one(q) for q in paths.split("|")) + ")"
+    if kind == "urn":
+        return f"case when starts_with({v}, 'urn:uuid:') then substr({v}, 10) end"
+    return f"try_cast({v} as {'double' if kind == 'double' else 'bigint'})" if kind in ("double", "long") else v
+
+
+def _table_sql(name: str) -> str:
+    types = ", ".join(f"'{x}'" for x, n in clinical.TABLE_OF.items() if n == name)
+    cols = {c: _at("r", q, k) for c, q, k in clinical.PATHS[name]}
+    if name == "organizations":
+        cols["name"] = f"case when rt <> 'Practitioner' then {cols['name']} end"
+    return f"with {_B} select bundle_sha256, id as resource_id, " + ", ".join(f'{v} as "{c}"' for c, v in cols.items()) + f" from e where rt in ({types})"
+
+
+def _clinical_table(name: str) -> None:
+    def run(t: Tables) -> DataFrame:
+        return clinical.table(clinical.resources(_entries(t)), name).select("bundle_sha256", "resource_id", *[c for c, _, _ in clinical.PATHS[name]])
+
+    run.__name__ = f"clinical_{name}"
+    query(_table_sql(name))(run)
+
+
+for _name in clinical.PATHS:
+    if _name != "observations":
+        _clinical_table(_name)
+
+_ITEMS = "i0 as (select bundle_sha256, id as claim_id, unnest(case when json_type(r, '$.item') = 'ARRAY' then cast(json_extract(r, '$.item') as json[]) else [] end) as y from e where rt = 'Claim'), items as (select bundle_sha256, claim_id, " + ", ".join(f"{_at('y', q, k)} as {n}" for n, q, k in clinical.LINE_PATHS) + " from i0)"
+
+
+@query(f"with {_B}, {_ITEMS} select * from items")
+def clinical_claim_items(t: Tables) -> DataFrame:
+    return clinical.claim_items(clinical.resources(_entries(t)))
+
+
+_LEAVES = "l as (select e.bundle_sha256, e.entry, e.rt, e.id, j.key, j.type, json_extract_string(j.atom, '$') as v, substr(j.fullkey, 3) as path, regexp_replace(substr(j.fullkey, 3), '\\[[0-9]+\\]', '[]', 'g') as pattern, j.value as x from e, json_tree(e.r) j)"
+_MAPPED = ", ".join(f"'{t} {p}'" for t, ps in sorted(clinical.mapped_paths().items()) for p in sorted(ps))
+_MAPPING = f"m as (select rt as resource_type, pattern as path, count(*) as occurrences, rt || ' ' || pattern in ({_MAPPED}) as mapped, rt in ({', '.join(repr(x) for x in clinical.TABLE_OF)}) as modelled_type from l where type not in ('OBJECT', 'ARRAY') group by 1, 2)"
+
+
+@query(f"with {_B}, {_LEAVES}, {_MAPPING} select * from m")
 def clinical_mapping(t: Tables) -> DataFrame:
     return clinical.mapping(_entries(t))
 
 
-@query()
+_NEEDED = " union all ".join(f"select '{t}' as rt, '{m}' as need" for t, ms in clinical.REQUIRED.items() for m in ms)
+_DATES = ", ".join(f"'{m}'" for m in clinical.DATE_MEMBERS)
+_ISSUES = f"""n as ({_NEEDED}), s as (
+select bundle_sha256, case when json_type(j, '$.resourceType') = 'VARCHAR' then j ->> '$.resourceType' end as resource_type, cast(null as varchar) as resource_id, 'not_a_bundle' as kind, '' as detail from b where not coalesce(json_type(j) = 'OBJECT' and j ->> '$.resourceType' = 'Bundle', false)
+union all select bundle_sha256, '?', null, 'entry_without_resource', 'entry ' || entry from b2 where not coalesce(json_type(x, '$.resource') = 'OBJECT' and json_type(x, '$.resource.resourceType') = 'VARCHAR', false)
+union all select bundle_sha256, rt, null, 'missing_id', 'entry ' || entry from e where id is null
+union all select bundle_sha256, e.rt, id, 'missing_required', need from e join n on n.rt = e.rt where not list_contains(json_keys(r), need)
+union all select bundle_sha256, rt, id, 'coding_without_system_or_code', left(pattern, 200) from l where type = 'OBJECT' and regexp_full_match(path, '(.*\\.)?coding\\[[0-9]+\\]') and (coalesce({_at('x', 'system', 'string')}, '') = '' or coalesce({_at('x', 'code', 'string')}, '') = '')
+union all select bundle_sha256, rt, id, 'unparseable_date', left(pattern || '=' || v, 200) from l where key in ({_DATES}) and type = 'VARCHAR' and not ends_with(path, ']') and not regexp_full_match(v, '{clinical.DATE[1:-2]}'))"""
+
+
+@query(f"with {_B}, {_LEAVES}, {_ISSUES} select resource_type, kind, detail, count(*) as n from s group by all")
+def clinical_issues(t: Tables) -> DataFrame:
+    return clinical.issues(_entries(t)).groupBy("resource_type", "kind", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""with {_B}, {_LEAVES}, {_MAPPING}, {_ISSUES}, c as (select rt as resource_type, count(*) as resources from e group by 1), g as (select resource_type, bool_or(modelled_type) as modelled, count(*) as leaf_paths, count(*) filter (where mapped) as mapped_paths, sum(occurrences) as a, sum(occurrences) filter (where mapped) as r from m group by 1), i as (select resource_type, count(*) as n from s group by 1)
+select resource_type, resources, coalesce(modelled, false) as modelled, leaf_paths, coalesce(mapped_paths, 0) as mapped_paths, round(coalesce(r, 0)::double / a, 4) as mapped_value_share, coalesce(i.n, 0) as structural_issues from c left join g using (resource_type) left join i using (resource_type)""")
 def clinical_summary(t: Tables) -> DataFrame:
     e = _entries(t)
     return clinical_marts.summary(clinical.resources(e).select("resource_type"), clinical.mapping(e), clinical.issues(e))
 
 
-@query("""with b as (select record_id, try_cast(body as json) as j from nested_records where record_kind = 'fhir_bundle'), e as (select record_id, unnest(case when json_type(j -> '$.entry') = 'ARRAY' then cast(j -> '$.entry' as json[]) when json_type(j -> '$.entry') = 'OBJECT' then [j -> '$.entry'] else [] end) as x from b where j is not null and json_type(j) = 'OBJECT' and j ->> '$.resourceType' = 'Bundle')
-select cast(record_id as varchar) as bundle_sha256, x ->> '$.resource.id' as resource_id, x ->> '$.resource.status' as status, x ->> '$.resource.code.coding[0].code' as code, try_cast(x ->> '$.resource.valueQuantity.value' as double) as value_number from e where x ->> '$.resource.resourceType' = 'Observation'""")
-def clinical_observations(t: Tables) -> DataFrame:
-    return clinical.table(clinical.resources(_entries(t)), "observations").select("bundle_sha256", "resource_id", "status", "code", "value_number")
+_ORGS = f"""o0 as (select rt, id, unnest(case when json_type(r, '$.identifier') = 'ARRAY' then cast(json_extract(r, '$.identifier') as json[]) else [] end) as y from e where rt in ('Organization', 'Location', 'Practitioner')),
+o as (select distinct rt || '?identifier={clinical.SYNTHETIC_SYSTEM}|' || (y ->> '$.value') as target from o0 where contains(coalesce(y ->> '$.system', ''), 'synthea') union select rt || '?identifier={clinical.NPI_SYSTEM}|' || (y ->> '$.value') from o0 where y ->> '$.system' = '{clinical.NPI_SYSTEM}')"""
+_REFS = f"""{_ORGS}, q as (select bundle_sha256, entry, rt as resource_type, v as target, case when starts_with(v, '#') then 'contained' when starts_with(v, 'urn:uuid:') then 'bundle_urn' when regexp_full_match(v, '([A-Za-z]+)\\?identifier=([^|]+)\\|(.+)') then 'conditional_identifier' else 'other' end as kind from l where key = 'reference' and type = 'VARCHAR' and not ends_with(path, ']')),
+h as (select q.*, case kind when 'contained' then exists (select 1 from l where l.bundle_sha256 = q.bundle_sha256 and l.entry = q.entry and l.pattern = 'contained[].id' and l.type = 'VARCHAR' and '#' || l.v = q.target) when 'bundle_urn' then exists (select 1 from e where e.bundle_sha256 = q.bundle_sha256 and e.url = q.target) when 'conditional_identifier' then exists (select 1 from o where o.target = q.target) else false end as resolved from q)"""
 
 
-@query()
+@query(f"with {_B}, {_LEAVES}, {_REFS} select resource_type, kind, resolved, count(*) as n from h group by all")
 def clinical_references(t: Tables) -> DataFrame:
     e = _entries(t)
     r = clinical.references(e, clinical.table(clinical.resources(e), "organizations"))
     return r.groupBy("resource_type", "kind", "resolved").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def clinical_issues(t: Tables) -> DataFrame:
-    return clinical.issues(_entries(t)).groupBy("resource_type", "kind", "detail").agg(F.count(F.lit(1)).alias("n"))
+@query(f"with {_B}, {_LEAVES}, {_REFS} select resource_type, kind, count(*) as n, min(target) as example from h where not resolved group by all")
+def gate_references(t: Tables) -> DataFrame:
+    e = _entries(t)
+    return gates.references_resolve(clinical.references(e, clinical.table(clinical.resources(e), "organizations")))
 
 
-@query()
+_CLAIMS = f"claims as (select id as resource_id, {_at('r', 'type.coding[0].code', 'string')} as claim_type, {_at('r', 'total.value', 'double')} as total from e where rt = 'Claim')"
+
+
+@query(f"""with {_B}, {_ITEMS}, {_CLAIMS}, g as (select claim_id, count(*) as lines, count(net) as priced, sum(cast(round(net * 100) as bigint)) as cents from items group by 1), c as (select claims.*, cast(round(total * 100) as bigint) as head, g.* from claims left join g on g.claim_id = claims.resource_id)
+select claim_type, count(*) as claims, cast(coalesce(sum(lines), 0) as bigint) as lines, cast(coalesce(sum(priced), 0) as bigint) as priced_lines, count(*) filter (where not coalesce(priced > 0, false)) as claims_without_priced_lines, count(*) filter (where priced > 0 and head = cents) as header_equals_lines, count(*) filter (where priced > 0 and head > cents) as header_above_lines, count(*) filter (where priced > 0 and head < cents) as header_below_lines, cast(coalesce(sum(head), 0) as bigint) as header_cents, cast(coalesce(sum(cents), 0) as bigint) as lines_cents from c group by 1""")
 def claim_totals(t: Tables) -> DataFrame:
     res = clinical.resources(_entries(t))
     return clinical_marts.claim_totals(clinical.table(res, "claims"), clinical.claim_items(res))
 
 
-@query()
+@query(f"""with {_B}, {_ITEMS}, {_CLAIMS}, x as (select i.* from items i join claims c on c.resource_id = i.claim_id), k as (select distinct upper(code) as code, hospital_id from dim_charge_codes where code_family = 'CDT'), z as (select x.code_system, count(distinct (x.claim_id, x.sequence)) as a, count(distinct x.code) as b, count(distinct k.hospital_id) as c from x join k on k.code = upper(x.code) where x.code_system = '{clinical_marts.SHARED_SYSTEM}' group by 1)
+select y.code_system, claim_lines, distinct_codes, case when y.code_system = '{clinical_marts.SHARED_SYSTEM}' then 'CDT' end as shared_with_price_files, coalesce(z.a, 0) as lines_with_a_price_file_code, coalesce(z.b, 0) as codes_with_a_price_file_code, coalesce(z.c, 0) as hospitals_with_those_codes from (select code_system, count(*) as claim_lines, count(distinct code) as distinct_codes from x group by 1) y left join z using (code_system)""")
 def code_bridge(t: Tables) -> DataFrame:
     res = clinical.resources(_entries(t))
     lines = clinical_marts.claim_lines(clinical.claim_items(res), clinical.table(res, "claims"), clinical.table(res, "organizations"))
     return clinical_marts.code_bridge(lines, t.dim_charge_codes)
 
 
-@query()
+@query(f"""with {_B}, {_ITEMS}, {_CLAIMS}, x as (select {_at('r', 'claim.reference', 'urn')} as claim_id, {_at('r', 'total[0].amount.value', 'double')} as amount from e where rt = 'ExplanationOfBenefit'), y as (select * from x where claim_id is not null)
+select 'claim_without_lines' as problem, resource_id as claim_id from claims c where not exists (select 1 from items i where i.claim_id = c.resource_id) union all select 'line_without_claim', claim_id from items i where not exists (select 1 from claims c where c.resource_id = i.claim_id) union all select 'claim_without_explanation', resource_id from claims c where not exists (select 1 from y where y.claim_id = c.resource_id)
+union all select 'explanation_without_claim', claim_id from y where not exists (select 1 from claims c where c.resource_id = y.claim_id) union all select 'claim_twice', resource_id from claims group by resource_id having count(*) > 1 union all select 'totals_differ', c.resource_id from claims c join y on y.claim_id = c.resource_id where abs(c.total - y.amount) > 0.005""")
+def gate_claims(t: Tables) -> DataFrame:
+    res = clinical.resources(_entries(t))
+    return gates.claims_match(clinical.table(res, "claims"), clinical.claim_items(res), clinical.table(res, "eobs"))
+
+
+@query(f"""with {_B}, {_LEAVES}, {_ISSUES} select 'envelope' as problem, kind as what, count(*) as n from s where kind in ('not_a_bundle', 'entry_without_resource', 'missing_id') group by 2
+union all select 'listed_twice', rt || '/' || id, count(*) from e where id is not null group by bundle_sha256, rt, id having count(*) > 1""")
+def gate_bundles(t: Tables) -> DataFrame:
+    e = _entries(t)
+    res = clinical.resources(e)
+    tables = {rt: clinical.table(res.where(F.col("resource_type") == rt), n) for rt, n in clinical.TABLE_OF.items()}
+    return gates.bundles_intact(res, tables, clinical.issues(e))
+
+
+@query("""with b as (select record_id, try_cast(body as json) as j from nested_records where record_kind = 'fhir_bundle'), e as (select record_id, unnest(case when json_type(j -> '$.entry') = 'ARRAY' then cast(j -> '$.entry' as json[]) when json_type(j -> '$.entry') = 'OBJECT' then [j -> '$.entry'] else [] end) as x from b where j is not null and json_type(j) = 'OBJECT' and j ->> '$.resourceType' = 'Bundle')
+select cast(record_id as varchar) as bundle_sha256, x ->> '$.resource.id' as resource_id, x ->> '$.resource.status' as status, x ->> '$.resource.code.coding[0].code' as code, try_cast(x ->> '$.resource.valueQuantity.value' as double) as value_number from e where x ->> '$.resource.resourceType' = 'Observation'""")
+def clinical_observations(t: Tables) -> DataFrame:
+    return clinical.table(clinical.resources(_entries(t)), "observations").select("bundle_sha256", "resource_id", "status", "code", "value_number")
+
+
+@query("""with v as (select case when json_valid(body) then body end as body from nested_records where record_kind = 'hpt_file') select regexp_replace(substr(j.fullkey, 3), '\\[[0-9]+\\]', '[]', 'g') as pattern, case j.type when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'NULL' then 'null' else 'number' end as json_type, count(*) as n from v, json_tree(v.body) j where v.body is not null and j.type not in ('OBJECT', 'ARRAY') group by 1, 2""")
 def leaf_paths(t: Tables) -> DataFrame:
     """Every leaf path of the price-file headers with its types."""
     rows = t.nested_records.where("record_kind = 'hpt_file'")
@@ -286,7 +435,19 @@ def charges_without_file(t: Tables) -> DataFrame:
     return t.fct_standard_charges.join(t.stg_hpt__files, "source_sha256", "left_anti").groupBy("source_sha256", "hospital_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+@query("select c.* exclude (source_last_updated_on), f.hospital_name, f.day as source_last_updated_on from fct_standard_charges c join (select hospital_id, source_sha256, min(hospital_name) as hospital_name, min(last_updated_on) as day from stg_hpt__files group by 1, 2) f using (hospital_id, source_sha256)")
 def charges_with_file(t: Tables) -> DataFrame:
     charges = t.fct_standard_charges.drop("source_last_updated_on").withColumn("count_raw", F.lit(None).cast("string"))
     return prices.standard_charges(charges, t.stg_hpt__files)
+
+
+@query("""with d as (select f.hospital_id, f.source_sha256, c.type_conflict as kind, count(*) as n from (select distinct hospital_id, source_sha256, item_id from fct_standard_charges) f join (select distinct item_id, code_seq, type_conflict from dim_charge_codes where type_conflict is not null) c using (item_id) group by 1, 2, 3), r as (select hospital_id, source_sha256, count(*) as records from fct_standard_charges group by 1, 2), f as (select hospital_id, source_sha256, min(hospital_name) as hospital_name from stg_hpt__files group by 1, 2)
+select hospital_id, hospital_name, source_sha256, kind, '' as column, n, round(n::double / records, 6) as share_of_records from d join f using (hospital_id, source_sha256) join r using (hospital_id, source_sha256)""")
+def conformance_report(t: Tables) -> DataFrame:
+    """Conflicts of code types by file, as the report of sources has them."""
+    c = t.dim_charge_codes.where("type_conflict is not null").select("item_id", "code_seq", F.col("type_conflict").alias("kind")).distinct()
+    items = t.fct_standard_charges.select("hospital_id", "source_sha256", "item_id").distinct()
+    drift = c.join(items, "item_id").groupBy("hospital_id", "source_sha256", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first_locator"), F.lit(None).cast("string").alias("sample_value")).withColumn("column", F.lit(""))
+    records = t.fct_standard_charges.groupBy("hospital_id", "source_sha256").agg(F.count(F.lit(1)).alias("records_read"))
+    files = t.stg_hpt__files.select("hospital_id", "source_sha256", "hospital_name").join(records, ["hospital_id", "source_sha256"])
+    return prices.conformance(drift, files).drop("first_locator", "sample_value")

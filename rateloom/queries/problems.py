@@ -201,7 +201,7 @@ _RENAMES = _RENAMES.replace("x as (select hospital_id, source_sha256, line_key,"
 ORACLES["p4_table"] = _RENAMES + """, nm as (select hospital_id, seq, m, m as cur, seq as pos from p union all select nm.hospital_id, nm.seq, nm.m, r.b, r.seq from nm join r on r.hospital_id = nm.hospital_id and r.a = nm.cur and r.seq > nm.pos and not exists (select 1 from r r2 where r2.hospital_id = nm.hospital_id and r2.a = nm.cur and r2.seq > nm.pos and r2.seq < r.seq)),
 fn as (select hospital_id, seq, m, arg_max(cur, pos) as c from nm group by all),
 kt as (select fn.hospital_id, fn.c, max({'s': p.seq, 't': p.t}).t as ct from fn join p using (hospital_id, seq, m) where p.t is not null group by all),
-z as (select c.hospital_id, c.source_sha256, c.line_no, c.line_key, fn.c as column_name, kt.ct as column_type, case when c.t = 'string' then json_extract_string(c.j, '$') when c.t = 'number' then cast(cast(c.j as double) as varchar) when c.t is not null then cast(c.j as varchar) end as x from c join fn using (hospital_id, seq, m) left join kt on kt.hospital_id = c.hospital_id and kt.c = fn.c),
+z as (select c.hospital_id, c.source_sha256, c.line_no, c.line_key, fn.c as column_name, kt.ct as column_type, case when c.t = 'string' then json_extract_string(c.j, '$') when c.t = 'number' then cast(cast(c.j as double) as varchar) when c.t is not null then regexp_replace(cast(c.j as varchar), '([0-9])\\.0([,}\\]])', '\\1\\2', 'g') end as x from c join fn using (hospital_id, seq, m) left join kt on kt.hospital_id = c.hospital_id and kt.c = fn.c),
 w as (select *, case when column_type = 'number' then try_cast(trim(x) as double) end as number, case when column_type = 'boolean' then try_cast(x as boolean) end as flag from z)
 select hospital_id, source_sha256, line_no, line_key, column_name, column_type, case when number is null and flag is null then x end as value, number, flag from w"""
 
@@ -212,3 +212,14 @@ ORACLES["p5_hospitals"] = """with o as (select distinct charge_id, hospital_id,
 k as (select * from o qualify row_number() over (partition by charge_id order by loaded_at desc, hospital_id desc, payer desc, v desc) = 1),
 g as (select hospital_id, floor(v / pow(2.0, floor(log2(v)) - 20)) * pow(2.0, floor(log2(v)) - 20) as v from k where hospital_id is not null)
 select hospital_id, count(*) as n, round(quantile_cont(v, 0.25), 4) as p25, round(median(v), 4) as p50, round(quantile_cont(v, 0.75), 4) as p75, round(quantile_cont(v, 0.9), 4) as p90 from g group by 1"""
+
+# the rows that load: every cell by the name of its column
+def _cell(rule: quarantine.Rule) -> str:
+    v = f"nullif(list_filter(cs, lambda z: z.n = '{rule.name}')[1].o, '')"
+    v = f"try_cast({v} as double)" if rule.kind == "number" else f"lower({v})" if rule.kind == "enum" else v
+    return f'{v} as "{rule.name.replace("|", "_")}"'
+
+
+ORACLES["p1_loaded"] = ORACLES["p1_found"].split("u as (select")[0].rstrip() + f""" bad as ({ORACLES['p1_found']}), hs as (select distinct source_sha256, record_no, hospital_id from hpt_csv_records),
+g as (select k.source_sha256, k.record_no, hs.hospital_id, list_transform(range(1, len(names) + 1), lambda i: {{'n': names[i], 'o': {_STRIP.replace('x,', 'cells[i],')}}}) as cs from k join hs on hs.source_sha256 = k.source_sha256 and hs.record_no = k.record_no where ok and len(cells) = len(names) and not exists (select 1 from bad where bad.source_sha256 = k.source_sha256 and bad.record_no = k.record_no))
+select source_sha256, record_no, hospital_id, {', '.join(_cell(r) for r in quarantine.TALL_SCHEMA)} from g"""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import jaro_winkler
+from ..marts import prices
 from ..operators import relational as R
 from .registry import Registry, Tables
 
@@ -91,24 +92,9 @@ def left_joins(t: Tables) -> DataFrame:
     return t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", "n_name", "r_name")
 
 
-@query("select h.npi, h.version, f.seq from provider_history h left join file_log f on h.source_file = 'registry_weekly_' || strftime(f.coverage_start, '%Y%m%d') || '-' || strftime(f.coverage_end, '%Y%m%d') || '.zip' and f.seq <= 20")
-def join_computed_key(t: Tables) -> DataFrame:
-    day = lambda c: F.date_format(c, "yyyyMMdd")
-    log = t.file_log.where("seq <= 20").select("seq", F.concat(F.lit("registry_weekly_"), day("coverage_start"), F.lit("-"), day("coverage_end"), F.lit(".zip")).alias("_file"))
-    return t.provider_history.join(log, F.col("source_file") == F.col("_file"), "left").select("npi", "version", "seq")
-
-
-@query("""with h as (select o_orderkey, round(o_totalprice, 2) as v from orders where o_orderkey % 7 <> 0), l as (select l_orderkey, round(sum(l_extendedprice), 2) as v from lineitem where l_orderkey % 5 <> 0 group by 1)
-select coalesce(o_orderkey, l_orderkey) as orderkey, h.v as v_a, l.v as v_b, case when l_orderkey is null then 'left_only' when o_orderkey is null then 'right_only' else 'differs' end as problem from h full join l on o_orderkey = l_orderkey where l_orderkey is null or o_orderkey is null or abs(h.v - l.v) > 0.005""")
-def header_vs_lines(t: Tables) -> DataFrame:
-    head = t.orders.where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("orderkey"), F.round("o_totalprice", 2).alias("v"))
-    lines = t.lineitem.where("l_orderkey % 5 <> 0").groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
-    return R.reconcile(head, lines, ["orderkey"], ["v"])
-
-
 @query("""with h as (select o_orderkey, round(o_totalprice, 2) as v from orders), l as (select l_orderkey, round(sum(l_extendedprice), 2) as v from lineitem group by 1)
 select coalesce(o_orderkey, l_orderkey) as orderkey, h.v as v_a, l.v as v_b, case when l_orderkey is null then 'left_only' when o_orderkey is null then 'right_only' else 'differs' end as problem from h full join l on o_orderkey = l_orderkey where l_orderkey is null or o_orderkey is null or abs(h.v - l.v) > 0.005""")
-def header_vs_lines_all(t: Tables) -> DataFrame:
+def header_vs_lines(t: Tables) -> DataFrame:
     """All orders against all lines."""
     head = t.orders.select(F.col("o_orderkey").alias("orderkey"), F.round("o_totalprice", 2).alias("v"))
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
@@ -116,7 +102,7 @@ def header_vs_lines_all(t: Tables) -> DataFrame:
 
 
 @query("select h.npi, h.version, f.seq from provider_history h left join file_log f on h.source_file = 'registry_weekly_' || strftime(f.coverage_start, '%Y%m%d') || '-' || strftime(f.coverage_end, '%Y%m%d') || '.zip'")
-def join_computed_key_all(t: Tables) -> DataFrame:
+def join_computed_key(t: Tables) -> DataFrame:
     """The history against the whole file_log; a version meets each log entry of its file."""
     day = lambda c: F.date_format(c, "yyyyMMdd")
     log = t.file_log.select("seq", F.concat(F.lit("registry_weekly_"), day("coverage_start"), F.lit("-"), day("coverage_end"), F.lit(".zip")).alias("_file"))
@@ -198,17 +184,13 @@ def join_expression(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- aggregates
 
 
-@query("""with k as (select distinct item_id, code, coalesce(code_family, declared_type) as family from dim_charge_codes where code is not null)
-select c.hospital_id, k.family, k.code, coalesce(c.setting, 'unspecified') as setting, count(*) as charge_rows, count(distinct lower(trim(c.payer_name)) || '|' || c.plan_name) as payer_plans, min(c.negotiated_rate) as rate_min, round(quantile_cont(c.negotiated_rate, 0.25), 4) as rate_p25, round(median(c.negotiated_rate), 4) as rate_median, round(quantile_cont(c.negotiated_rate, 0.75), 4) as rate_p75, max(c.negotiated_rate) as rate_max, min(c.description) as example_description
+@query("""with k as (select distinct item_id, code, coalesce(code_family, declared_type) as code_family from dim_charge_codes where code is not null)
+select c.hospital_id, k.code_family, k.code, coalesce(c.setting, 'unspecified') as setting, count(*) as charge_rows, count(distinct lower(trim(c.payer_name)) || '|' || c.plan_name) as payer_plans, min(c.negotiated_rate) as rate_min, round(quantile_cont(c.negotiated_rate, 0.25), 4) as rate_p25, round(median(c.negotiated_rate), 4) as rate_median, round(quantile_cont(c.negotiated_rate, 0.75), 4) as rate_p75, max(c.negotiated_rate) as rate_max, round(median(c.gross_charge), 4) as gross_median, round(median(c.discounted_cash), 4) as cash_median, min(c.description) as example_description
 from fct_standard_charges c join k using (item_id) where c.negotiated_rate > 0 and c.negotiated_rate < 999999999 group by all""")
 def price_summary(t: Tables) -> DataFrame:
-    codes = t.dim_charge_codes.where("code is not null").select("item_id", "code", F.coalesce("code_family", "declared_type").alias("family")).distinct()
-    rows = t.fct_standard_charges.where("negotiated_rate > 0 and negotiated_rate < 999999999").join(codes, "item_id")
-    q = lambda p: F.round(F.percentile("negotiated_rate", F.lit(p)), 4)
-    return rows.groupBy("hospital_id", "family", "code", F.coalesce("setting", F.lit("unspecified")).alias("setting")).agg(
-        F.count(F.lit(1)).alias("charge_rows"), F.countDistinct(F.concat(F.lower(F.trim("payer_name")), F.lit("|"), F.col("plan_name"))).alias("payer_plans"), F.min("negotiated_rate").alias("rate_min"),
-        q(0.25).alias("rate_p25"), q(0.5).alias("rate_median"), q(0.75).alias("rate_p75"), F.max("negotiated_rate").alias("rate_max"), F.min("description").alias("example_description"),
-    )
+    charges = t.fct_standard_charges.where("negotiated_rate > 0 and negotiated_rate < 999999999").withColumn("payer_name", F.lower(F.trim("payer_name")))
+    s = prices.price_summary(charges, t.dim_charge_codes)
+    return s.withColumns({c: F.round(c, 4) for c in ("rate_p25", "rate_median", "rate_p75", "gross_median", "cash_median")})
 
 
 @query("select hospital_id, count(distinct (item_id, code)) as pairs from dim_charge_codes group by 1")
@@ -252,11 +234,16 @@ def distinct_top(t: Tables) -> DataFrame:
     return t.part.select("p_brand", "p_type", "p_size").distinct().orderBy(F.desc("p_size"), "p_brand", "p_type").limit(20)
 
 
-@query("""with p as (select hospital_id, item_id, lower(trim(payer_name)) as payer, median(negotiated_rate) as m from fct_standard_charges where negotiated_rate > 0 and payer_name is not null group by all)
-select hospital_id, item_id, round(median(m), 4) as median_of_medians, count(*) as payers, round(max(m) / min(m), 6) as spread from p group by 1, 2""")
+def _places(c: Column, places: int) -> Column:
+    """Rounded by the same arithmetic as the SQL, half-way values included."""
+    return F.floor(c * 10.0**places + 0.5) / 10.0**places
+
+
+@query("""with p as (select hospital_id, item_id, lower(trim(payer_name)) as payer, median(negotiated_rate) as m from fct_standard_charges where negotiated_rate > 0 and not isnan(negotiated_rate) and payer_name is not null group by all)
+select hospital_id, item_id, floor(median(m) * 10000.0::double + 0.5::double) / 10000.0::double as median_of_medians, count(*) as payers, floor((max(m) / min(m)) * 1000000.0::double + 0.5::double) / 1000000.0::double as spread from p group by 1, 2""")
 def median_of_medians(t: Tables) -> DataFrame:
-    p = t.fct_standard_charges.where("negotiated_rate > 0 and payer_name is not null").groupBy("hospital_id", "item_id", F.lower(F.trim("payer_name")).alias("payer")).agg(F.median("negotiated_rate").alias("m"))
-    return p.groupBy("hospital_id", "item_id").agg(F.round(F.median("m"), 4).alias("median_of_medians"), F.count(F.lit(1)).alias("payers"), F.round(F.max("m") / F.min("m"), 6).alias("spread"))
+    p = t.fct_standard_charges.where("negotiated_rate > 0 and not isnan(negotiated_rate) and payer_name is not null").groupBy("hospital_id", "item_id", F.lower(F.trim("payer_name")).alias("payer")).agg(F.median("negotiated_rate").alias("m"))
+    return p.groupBy("hospital_id", "item_id").agg(_places(F.median("m"), 4).alias("median_of_medians"), F.count(F.lit(1)).alias("payers"), _places(F.max("m") / F.min("m"), 6).alias("spread"))
 
 
 @query("select p_brand, max(p_retailprice) filter (where p_size < 20) as small, max(p_retailprice) filter (where p_size >= 20) as large from part group by 1")
@@ -299,8 +286,7 @@ def latest_version(t: Tables) -> DataFrame:
 @query("""with f as (select * from file_log where outcome <> 'rejected_schema' qualify row_number() over (partition by source_file order by seq) = 1)
 select cast(row_number() over (order by seq) as integer) as seq, source_file, kind, outcome from f""")
 def file_log_dense(t: Tables) -> DataFrame:
-    first = R.first_by(t.file_log.where("outcome <> 'rejected_schema'"), ["source_file"], [F.asc("seq")])
-    return R.renumber(first, ["seq"]).select("seq", "source_file", "kind", "outcome")
+    return prices.file_log(t.file_log.where("outcome <> 'rejected_schema'")).select("seq", "source_file", "kind", "outcome")
 
 
 @query("select p_brand, p_partkey, p_retailprice from part qualify row_number() over (partition by p_brand order by p_retailprice desc, p_partkey) <= 3")
@@ -360,9 +346,9 @@ def union_problems(t: Tables) -> DataFrame:
 _NAME = "array_to_string(list_filter(string_split(regexp_replace(replace(upper(s), '&', ' AND '), '[^A-Z0-9]+', ' ', 'g'), ' '), lambda w: w not in ('', 'THE', 'OF', 'AND', 'INC', 'LLC')), ' ')"
 
 
-@query(f"select npi, version, {_NAME} as name from (select npi, version, org_name as s from provider_history where regexp_full_match(org_name, '[ -~]*'))")
+@query(f"select npi, version, {_NAME} as name from (select npi, version, org_name as s from provider_history)")
 def normal_names(t: Tables) -> DataFrame:
-    return t.provider_history.where(F.col("org_name").rlike(r"^[ -~]*\z")).select("npi", "version", T.norm_name(F.col("org_name")).alias("name"))
+    return t.provider_history.select("npi", "version", T.norm_name(F.col("org_name")).alias("name"))
 
 
 _TOK = "list_filter(string_split(trim(regexp_replace(upper(a), '[^A-Z0-9]+', ' ', 'g')), ' '), lambda x: x <> '')"
@@ -403,7 +389,7 @@ def array_functions(t: Tables) -> DataFrame:
     a = a.select("npi", F.col("vs.version").alias("v"), F.col("vs.s").alias("s"))
     text = lambda x: F.transform(x, lambda y: y.cast("string"))
     return a.select(
-        "npi", F.array_max("v").alias("top"), F.aggregate("v", F.lit(0).cast("long"), lambda x, y: x + y * y).alias("squares"), F.array_join(F.array_sort(F.array_distinct("s")), ",").alias("states"), F.array_join(text(F.filter(F.slice("v", 2, 10_000), lambda x: x % 2 == 0)), ",").alias("even_rest"),
+        "npi", F.array_max("v").alias("top"), F.aggregate("v", F.lit(0).cast("long"), lambda x, y: x + y * y).alias("squares"), F.array_join(F.array_sort(F.array_distinct("s")), ",").alias("states"), F.array_join(text(F.filter(F.slice("v", F.lit(2), F.size("v")), lambda x: x % 2 == 0)), ",").alias("even_rest"),
         F.coalesce(F.array_contains("s", "ZA"), F.lit(False)).alias("has_za"), F.array_join(text(F.concat("v", F.array(F.lit(0)))), ",").alias("padded"), F.get("s", F.lit(0)).alias("first_state"),
     )
 
@@ -429,9 +415,9 @@ def number_values(t: Tables) -> DataFrame:
     return s.select("raw", parse_number(F.col("raw"))["value"].alias("value"))
 
 
-@query("""select a.npi, a.version, round(jaro_winkler_similarity(a.org_name, b.org_name), 9) as likeness from provider_history a join provider_history b on a.npi = b.npi and a.version + 1 = b.version where a.org_name is not null and b.org_name is not null and regexp_full_match(a.org_name || b.org_name, '[ -~]*')""")
+@query("""select a.npi, a.version, round(jaro_winkler_similarity(a.org_name, b.org_name), 9) as likeness from provider_history a join provider_history b on a.npi = b.npi and a.version + 1 = b.version where a.org_name is not null and b.org_name is not null""")
 def name_similarity(t: Tables) -> DataFrame:
     h = t.provider_history.where("org_name is not null").select("npi", "version", "org_name")
     nxt = h.select("npi", (F.col("version") - 1).alias("version"), F.col("org_name").alias("_next"))
-    j = h.join(nxt, ["npi", "version"]).where(F.concat("org_name", "_next").rlike(r"^[ -~]*\z"))
+    j = h.join(nxt, ["npi", "version"])
     return j.select("npi", "version", F.round(jaro_winkler(F.col("org_name"), F.col("_next")), 9).alias("likeness"))
