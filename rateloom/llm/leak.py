@@ -20,8 +20,10 @@ leaks nowhere; equal items are all reported; repeated document rows give their p
 from __future__ import annotations
 
 import atexit
+import bisect
 import functools
 import json
+import mmap
 import os
 import re
 import shutil
@@ -144,7 +146,11 @@ class Part:
             size = int.from_bytes(f.read(8), "little")
             head = json.loads(f.read(size))
         base = -(-(8 + size) // 64) * 64
-        raw = np.memmap(path, np.uint8, "r") if os.path.getsize(path) > base else np.empty(base, np.uint8)
+        if os.path.getsize(path) > base:
+            with open(path, "rb") as f:
+                raw = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
+        else:
+            raw = np.empty(base, np.uint8)
         self.ids = head["ids"]
         for name, (at, kind, n) in head["arrays"].items():
             item = np.dtype(kind).itemsize
@@ -343,14 +349,16 @@ class Numbers(dict):
 
     def __init__(self, index: list[Part]):
         super().__init__()
-        self.known = np.unique(np.concatenate([p.vocab for p in index])) if index else np.empty(0, np.uint64)
+        # one part's vocabulary stays where it is mapped
+        known = index[0].vocab if len(index) == 1 else np.unique(np.concatenate([p.vocab for p in index])) if index else np.empty(0, np.uint64)
+        self.sorted = memoryview(known)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
         k = word_key(word)
-        at = int(np.searchsorted(self.known, np.uint64(k)))
-        v = self[word] = k if at < len(self.known) and int(self.known[at]) == k else 0
+        at = bisect.bisect_left(self.sorted, k)
+        v = self[word] = k if at < len(self.sorted) and self.sorted[at] == k else 0
         return v
 
 
@@ -363,7 +371,7 @@ def scan(index: list[Part], texts: list[str | None], numbers: Numbers | None = N
         out.append(found)
         if not text:
             continue
-        ids = np.fromiter((numbers[w] for w in words_of(text)), np.uint64)
+        ids = np.fromiter(map(numbers.__getitem__, words_of(text)), np.uint64)
         keys = shingle_keys(ids)
         # a shingle with a word that no item has is none of the index
         unknown = np.concatenate(([0], np.cumsum(ids == 0)))
