@@ -16,7 +16,8 @@ from ..operators.relational import as_of
 
 def identity(files: DataFrame) -> DataFrame:
     """By hospital and file: distinct normalised names, address keys, ZIP codes, disclosed identifiers."""
-    f = files.dropDuplicates(["hospital_id", "source_sha256"])
+    # a file that is listed twice says the same, but for the notation of its date
+    f = files.groupBy("hospital_id", "source_sha256").agg(F.min(F.struct("hospital_name", "last_updated_on", "location_names", "hospital_addresses", "type_2_npis")).alias("_f")).select("hospital_id", "source_sha256", "_f.*")
     addresses = F.coalesce("hospital_addresses", F.array().cast("array<string>"))
     names = F.array_compact(F.array_distinct(F.transform(F.concat(F.array("hospital_name"), F.coalesce("location_names", F.array().cast("array<string>"))), norm_name)))
     return f.select(
@@ -44,13 +45,13 @@ def resolution(ident: DataFrame, current: DataFrame, history: DataFrame) -> Data
     )
 
 
-def candidates(ident: DataFrame, current: DataFrame, least: float = 0.8) -> DataFrame:
+def candidates(ident: DataFrame, current: DataFrame, least: float = 0.8, hospitals_only: bool = True) -> DataFrame:
     """Registry rows in a hospital's ZIP codes that match its address or, at least by `least`, one of its names.
 
     The array of ZIP codes is exploded into an equi-join; similarity is computed on what that leaves.
     """
     zips = ident.select("hospital_id", "ref_names", "ref_addr_keys", "disclosed_npis", F.explode("ref_zips").alias("zip5")).where("zip5 <> ''")
-    p = current.where("status = 'active' and entity_type = '2'").where(is_hospital_taxonomy(F.col("primary_taxonomy"))).select("npi", "org_name", "primary_taxonomy", "practice_address_1", F.left("practice_postal", F.lit(5)).alias("zip5"))
+    p = current.where("status = 'active' and entity_type = '2'").where(is_hospital_taxonomy(F.col("primary_taxonomy")) if hospitals_only else F.lit(True)).select("npi", "org_name", "primary_taxonomy", "practice_address_1", F.left("practice_postal", F.lit(5)).alias("zip5"))
     j = zips.join(p, "zip5").withColumn("_key", addr_key(F.col("practice_address_1"), F.col("zip5")))
     j = j.withColumn("address_match", F.coalesce(F.array_contains("ref_addr_keys", F.col("_key")), F.lit(False))).withColumn("disclosed", F.coalesce(F.array_contains("disclosed_npis", F.col("npi")), F.lit(False)))
     s = j.withColumn("_ref", F.explode_outer("ref_names")).withColumn("_s", jaro_winkler(norm_name(F.col("org_name")), F.col("_ref")))

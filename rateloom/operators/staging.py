@@ -15,14 +15,13 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import parse_number, variant_number, variant_text
 from ..functions.text import clean, norm_enum
-from ..plans.materialize import hadoop_fs
+from ..plans.materialize import Manifests, hadoop_fs
 from ..schemas import STAGED
 from ..sources.landing import Landed, has_bom
 from ..sources.records import read_delimited, read_json_items
@@ -260,14 +259,14 @@ def parse_items(items: DataFrame) -> DataFrame:
     return out
 
 
-def parse_modifiers(value: str | None) -> list[dict]:
-    """Modifier by payer entries of a file's small member; one entry for a modifier without payers."""
-    mods = json.loads(value) if value else []
-    out = []
-    for i, m in enumerate(mods if isinstance(mods, list) else []):
-        for j, p in enumerate(m.get("modifier_payer_information") or [{}]):
-            out.append({"modifier_locator": f"m{i}.p{j}", "code": m.get("code"), "description": m.get("description"), "setting": m.get("setting"), "payer_name": p.get("payer_name"), "plan_name": p.get("plan_name"), "payer_description": p.get("description")})
-    return out
+def parse_modifiers(members: DataFrame) -> DataFrame:
+    """Modifier by payer entries of files' modifier members (json); one entry for a modifier without payers."""
+    get = lambda v, k: F.try_variant_get(v, f"$.{k}", "string")
+    m = members.select(F.posexplode(_elements(F.try_parse_json("json"))).alias("i", "_m")).where(_object(F.col("_m")).isNotNull())
+    payers = F.filter(_elements(F.try_variant_get("_m", "$.modifier_payer_information", "variant")), lambda p: _object(p).isNotNull())
+    m = m.select("i", "_m", F.posexplode_outer(payers).alias("j", "_p"))
+    at = F.concat(F.lit("m"), F.col("i").cast("string"), F.lit(".p"), F.coalesce("j", F.lit(0)).cast("string"))
+    return m.select(at.alias("modifier_locator"), *[get("_m", c).alias(c) for c in ("code", "description", "setting")], *[get("_p", c).alias(c) for c in ("payer_name", "plan_name")], get("_p", "description").alias("payer_description"))
 
 
 def parse_json_meta(members: dict[str, str]) -> tuple[dict, list[tuple]]:
@@ -296,11 +295,11 @@ def parse_json_meta(members: dict[str, str]) -> tuple[dict, list[tuple]]:
 def stage_file(spark: SparkSession, landed: Landed, source_format: str, out: str) -> dict:
     """Stage one landed file into <out>/<owner>; returns the counts of its file row.
 
-    Records are parsed once into a table aside; every staged table is written even when empty, and the
-    directory is swapped in only when all are complete.
+    Records are parsed once into a table aside; every staged table is written even when empty, and a numbered
+    manifest of the owner names the directory once all are complete. What it named before stays until it is cleared away.
     """
     tag = uuid.uuid4().hex
-    aside, final = f"{out}/.partial-{tag}", f"{out}/{landed.owner}"
+    aside = f"{out}/{landed.owner}/data-{tag}"
     prefix = f"{landed.owner}-{landed.sha256[:16]}-"
     if source_format == "csv_tall":
         raw = read_delimited(spark, [landed.path])
@@ -310,12 +309,14 @@ def stage_file(spark: SparkSession, landed: Landed, source_format: str, out: str
             drift.append(("truncated_header", "", None))
         rows, more = parse_tall(raw, head.get(3) or [])
         drift += more if len(head) >= 3 else []
-        modifiers: list[dict] = []
+        modifiers = None
     elif source_format == "json":
         raw = read_json_items(spark, [landed.path], ARRAY)
         raw.write.parquet(f"{aside}/.raw")
         raw = spark.read.parquet(f"{aside}/.raw")
-        members = {r["name"]: r["json"] for r in raw.where("kind = 'member'").collect()}
+        # the modifiers may be many and stay where they are; of them nothing but the first sign is asked
+        short = F.when(F.col("name") == MODIFIERS, F.when(F.col("json").startswith("["), "[]").otherwise("null")).otherwise(F.col("json"))
+        members = {r["name"]: r["json"] for r in raw.where("kind = 'member'").select("name", short.alias("json")).collect()}
         kinds = {r[0] for r in raw.select("kind").distinct().collect()}
         meta, drift = parse_json_meta(members)
         drift += [("top_level_not_object", "", None)] if "no_object" in kinds else []
@@ -323,7 +324,7 @@ def stage_file(spark: SparkSession, landed: Landed, source_format: str, out: str
         drift += [("truncated_file", ARRAY, None)] if "broken" in kinds else []
         drift += [("missing_required_meta", ARRAY, None)] if not kinds & {"item", "no_array"} else []
         rows = parse_items(raw.where("kind = 'item'").select("position", "json"))
-        modifiers = parse_modifiers(members.get(MODIFIERS))
+        modifiers = parse_modifiers(raw.where((F.col("kind") == "member") & (F.col("name") == MODIFIERS)))
     else:
         raise ValueError(f"no parser for {source_format}")
     rows.write.parquet(f"{aside}/.rows")
@@ -346,26 +347,24 @@ def stage_file(spark: SparkSession, landed: Landed, source_format: str, out: str
         "license_state": meta.get("license_state"), "license_number": meta.get("license_number"), "attestation": meta.get("attestation"), "records_read": n_charges + n_bad, "charge_rows": n_charges, "quarantined_rows": n_bad, "unmapped_meta_json": json.dumps(meta["unmapped"], sort_keys=True, ensure_ascii=False) if meta["unmapped"] else None,
         "hospital_id": landed.owner, "source_sha256": landed.sha256,
     }
-    both = [{"hospital_id": landed.owner, "source_sha256": landed.sha256} | m for m in modifiers]
-    tables = {"charges": charges, "codes": codes, "modifiers": spark.createDataFrame(both, STAGED["modifiers"]), "drift": drift_rows.select(*owner, "kind", "column", "n", "first_locator", "sample_value"), "quarantine": quarantine, "file": spark.createDataFrame([file_row], STAGED["file"])}
+    listed = spark.createDataFrame([], STAGED["modifiers"]) if modifiers is None else modifiers.select(*owner, "*")
+    tables = {"charges": charges, "codes": codes, "modifiers": listed, "drift": drift_rows.select(*owner, "kind", "column", "n", "first_locator", "sample_value"), "quarantine": quarantine, "file": spark.createDataFrame([file_row], STAGED["file"])}
     for name, df in tables.items():
         names = [c.split()[0] for c in STAGED[name].split(", ")]
         df.select(*names).write.option("compression", "zstd").parquet(f"{aside}/{name}")
-    fs, a = hadoop_fs(spark, aside)
-    _, b = hadoop_fs(spark, final)
+    fs, _ = hadoop_fs(spark, aside)
     for scratch in (".raw", ".rows"):
         fs.delete(hadoop_fs(spark, f"{aside}/{scratch}")[1], True)
-    fs.mkdirs(b.getParent())
-    fs.delete(b, True)
-    if not fs.rename(a, b):
-        raise RuntimeError(f"could not swap in {final}")
+    versions = Manifests(spark, f"{out}/{landed.owner}", "staged")
+    versions.commit((versions.latest() or {}) | {"data": aside, "sha256": landed.sha256})
     return {"records_read": n_charges + n_bad, "charge_rows": n_charges, "quarantined_rows": n_bad}
 
 
 def read_staged(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """One staged table over all owners, by name; an empty table where nothing is staged."""
+    """One staged table over all owners, by name; an empty table where nothing is staged. Columns a file lacks are null."""
     fs, root = hadoop_fs(spark, out)
-    found = [s.getPath().toString() for s in fs.globStatus(hadoop_fs(spark, f"{out}/*/{name}")[1]) or []] if fs.exists(root) else []
-    if not found:
+    owners = [x.getPath().toString() for x in fs.listStatus(root)] if fs.exists(root) else []
+    current = [m["data"] for m in (Manifests(spark, o, "staged").latest() for o in owners) if m]
+    if not current:
         return spark.createDataFrame([], STAGED[name])
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.parquet(p) for p in found]) if len(found) < 64 else spark.read.option("mergeSchema", True).parquet(*found)
+    return spark.read.schema(STAGED[name]).parquet(*[f"{c}/{name}" for c in current])

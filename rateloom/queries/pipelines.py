@@ -378,15 +378,32 @@ def leaf_paths(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- identity and analysis
 
 
-@query()
+_NORM = "array_to_string(list_filter(string_split(regexp_replace(replace(upper({x}), '&', ' AND '), '[^A-Z0-9]+', ' ', 'g'), ' '), lambda w: w not in ('', 'THE', 'OF', 'AND', 'INC', 'LLC')), ' ')"
+_TOKENS = "list_filter(string_split(trim(regexp_replace(upper({x}), '[^A-Z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
+_KEY = "case when regexp_full_match(tok[1], '[0-9]+') then tok[1] || ' ' || coalesce(list_filter(tok[2:], lambda x: x not in ('N', 'S', 'E', 'W', 'NORTH', 'SOUTH', 'EAST', 'WEST'))[1], '') || ' ' || zip5 end"
+_IDENTITY = f"""i as (select distinct hospital_id, source_sha256, hospital_name, location_names, hospital_addresses, type_2_npis from stg_hpt__files),
+names as (select distinct hospital_id, source_sha256, {_NORM.format(x='s')} as ref from (select hospital_id, source_sha256, unnest(list_concat([hospital_name], coalesce(location_names, []))) as s from i) where s is not null),
+a0 as (select hospital_id, source_sha256, regexp_extract(a, '([0-9]{{5}})(-[0-9]{{4}})?\\s*$', 1) as zip5, {_TOKENS.format(x='a')} as tok from (select hospital_id, source_sha256, unnest(hospital_addresses) as a from i) where a is not null),
+keys as (select distinct hospital_id, source_sha256, {_KEY} as k from a0), zips as (select distinct hospital_id, source_sha256, zip5 from a0)"""
+
+
+@query(f"""with {_IDENTITY}, d as (select i.hospital_id, i.source_sha256, n.npi, n.day from i join (select distinct hospital_id, source_sha256, unnest(type_2_npis) as npi, coalesce(try_cast(try_strptime(trim(last_updated_on), '%m/%d/%Y') as date), try_cast(trim(last_updated_on) as date)) as day from stg_hpt__files) n using (hospital_id, source_sha256)),
+l as (select npi, unnest(string_split('80840' || npi, '')) as c, unnest(range(15, 0, -1)) as place from (select distinct npi from d) where regexp_full_match(npi, '[0-9]{{10}}')), g as (select npi, sum(case when place % 2 = 1 then c::int else (2 * c::int) // 10 + (2 * c::int) % 10 end) % 10 = 0 as good from l group by npi)
+select distinct d.hospital_id, d.source_sha256, d.npi, d.day as file_date, regexp_full_match(d.npi, '[0-9]{{10}}') as format_ok, coalesce(g.good, false) as check_digit_ok, p.npi is not null as in_registry, p.status, h.status as status_as_of_file_date from d left join g on g.npi = d.npi left join (select * from provider_history where is_current) p on p.npi = d.npi
+left join provider_history h on h.npi = d.npi and d.day >= coalesce(h.valid_from, date '0001-01-01') and d.day < coalesce(h.valid_to, date '9999-12-31')""")
 def identifier_resolution(t: Tables) -> DataFrame:
+    """Each identifier a file discloses with its checks, its registry row and its status on the file's date."""
     h = t.provider_history
-    return identity.resolution(identity.identity(t.stg_hpt__files), h.where("is_current"), h)
+    r = identity.resolution(identity.identity(t.stg_hpt__files), h.where("is_current"), h)
+    return r.select("hospital_id", "source_sha256", "npi", "file_date", "format_ok", "check_digit_ok", "in_registry", "status", "status_as_of_file_date").distinct()
 
 
-@query()
+@query(f"""with {_IDENTITY}, p0 as (select npi, org_name, left(practice_postal, 5) as zip5, {_TOKENS.format(x='practice_address_1')} as tok, {_NORM.format(x='org_name')} as name from provider_history where is_current and status = 'active' and entity_type = '2'), p as (select *, {_KEY} as k from p0)
+select z.hospital_id, p.npi, z.zip5, round(max(jaro_winkler_similarity(p.name, n.ref)), 9) as name_similarity, bool_or(coalesce(exists (select 1 from keys where keys.hospital_id = z.hospital_id and keys.source_sha256 = z.source_sha256 and keys.k = p.k), false)) as address_match from zips z join p on p.zip5 = z.zip5 left join names n on n.hospital_id = z.hospital_id and n.source_sha256 = z.source_sha256 where z.zip5 <> '' group by 1, 2, 3 having max(jaro_winkler_similarity(p.name, n.ref)) >= 0.4 or bool_or(exists (select 1 from keys where keys.hospital_id = z.hospital_id and keys.source_sha256 = z.source_sha256 and keys.k = p.k))""")
 def identity_candidates(t: Tables) -> DataFrame:
-    return identity.candidates(identity.identity(t.stg_hpt__files), t.provider_history.where("is_current"))
+    """Registry rows of any kind in a hospital's ZIP codes that are like it in name or address."""
+    c = identity.candidates(identity.identity(t.stg_hpt__files), t.provider_history.where("is_current"), 0.4, hospitals_only=False)
+    return c.select("hospital_id", "npi", "zip5", F.round("name_similarity", 9).alias("name_similarity"), "address_match")
 
 
 @query("""with k as (select distinct item_id, code from dim_charge_codes where code_family = 'CPT_CAT_I'), m as (select c.hospital_id, k.code, median(c.gross_charge) as gross, median(c.discounted_cash) as cash, count(*) as rows from fct_standard_charges c join k using (item_id) where c.setting in ('outpatient', 'both') and c.description not ilike '%unlisted%' group by 1, 2)
