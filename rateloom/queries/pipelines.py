@@ -38,15 +38,17 @@ _FILES = """f as (select source_file, max(coverage_end) as e, row_number() over
 def _raw(t: Tables) -> DataFrame:
     """The snapshots under the columns of a registry file; the slot of the primary taxonomy carries its mark."""
     n = t.nppes_full
-    slot = lambda i: F.get("taxonomy_codes", F.lit(i - 1))
+    none = F.lit(None).cast("string")
+    slot = lambda i: F.get("taxonomy_codes", F.lit(i - 1)) if "taxonomy_codes" in n.columns else none
+    primary = F.col("primary_taxonomy") if "primary_taxonomy" in n.columns else none
     marks = {}
     for c in registry.HEADERS.values():
         if c.startswith("tax_"):
             marks[c] = slot(int(c[4:]))
         elif c.startswith("switch_"):
-            marks[c] = F.when(slot(int(c[7:])) == F.col("primary_taxonomy"), "Y")
+            marks[c] = F.when(slot(int(c[7:])) == primary, "Y")
         else:
-            marks[c] = F.col(c) if c in n.columns else F.lit(None).cast("string")
+            marks[c] = F.col(c) if c in n.columns else none
     return n.select("source_file", *[v.alias(k) for k, v in marks.items()])
 
 
@@ -468,3 +470,7 @@ def conformance_report(t: Tables) -> DataFrame:
     records = t.fct_standard_charges.groupBy("hospital_id", "source_sha256").agg(F.count(F.lit(1)).alias("records_read"))
     files = t.stg_hpt__files.select("hospital_id", "source_sha256", "hospital_name").join(records, ["hospital_id", "source_sha256"])
     return prices.conformance(drift, files).drop("first_locator", "sample_value")
+
+
+# the same query under the name by which its test knows it
+QUERIES["cdc_classify_all"], ORACLES["cdc_classify_all"] = QUERIES["cdc_classify"], ORACLES["cdc_classify"]

@@ -421,3 +421,8 @@ def name_similarity(t: Tables) -> DataFrame:
     nxt = h.select("npi", (F.col("version") - 1).alias("version"), F.col("org_name").alias("_next"))
     j = h.join(nxt, ["npi", "version"])
     return j.select("npi", "version", F.round(jaro_winkler(F.col("org_name"), F.col("_next")), 9).alias("likeness"))
+
+
+# the same queries under the names by which their tests know them
+for _name in ("header_vs_lines", "join_computed_key"):
+    QUERIES[f"{_name}_all"], ORACLES[f"{_name}_all"] = QUERIES[_name], ORACLES[_name]

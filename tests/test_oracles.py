@@ -1,4 +1,4 @@
-"""Every query with SQL gives the rows of that SQL; every other one runs. On the smallest test data."""
+"""Every query gives the rows of its SQL. On the smallest test data."""
 
 import datetime as dt
 import glob
@@ -42,9 +42,8 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(tuple(norm(r[c]) for c in cols) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_sql_runs(spark, name):
-    assert QUERIES[name](spark, DATA).count() >= 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_contract(spark):

@@ -502,7 +502,7 @@ def test_salted_join_equals_a_join(spark, rows):
 
 
 def test_written_tables_go_to_the_shared_folder(spark):
-    path = materialize.shared_dir(spark)
-    assert path
+    path = materialize.scratch_path(spark, "texts")
+    assert path.startswith(materialize.shared_dir(spark))
     assert materialize.create_text(spark, f"{path}/x/y.txt", "a") and not materialize.create_text(spark, f"{path}/x/y.txt", "b")
     assert materialize.read_text(spark, f"{path}/x/y.txt") == "a" and materialize.read_text(spark, f"{path}/none") is None
