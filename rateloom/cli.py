@@ -93,9 +93,9 @@ def publish(a) -> int:
 
 
 def query(a) -> int:
-    from .queries import pipelines, problems, relational
+    from .queries import deliveries, pipelines, problems, relational
 
-    known = {**problems.QUERIES, **relational.QUERIES, **pipelines.QUERIES}
+    known = {**problems.QUERIES, **relational.QUERIES, **pipelines.QUERIES, **deliveries.QUERIES}
     if a.name not in known:
         print(f"unknown query; there are {', '.join(known)}", file=sys.stderr)
         return 2

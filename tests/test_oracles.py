@@ -10,10 +10,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__
-from rateloom.queries import pipelines, problems, relational
+from rateloom.queries import deliveries, pipelines, problems, relational
 
-QUERIES = {**problems.QUERIES, **relational.QUERIES, **pipelines.QUERIES}
-ORACLES = {**problems.ORACLES, **relational.ORACLES, **pipelines.ORACLES}
+QUERIES = {**problems.QUERIES, **relational.QUERIES, **pipelines.QUERIES, **deliveries.QUERIES}
+ORACLES = {**problems.ORACLES, **relational.ORACLES, **pipelines.ORACLES, **deliveries.ORACLES}
 
 
 @pytest.fixture(scope="module")
