@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.text import norm_header, strip
 from ..plans.skew import salted_join
 
-#: Stands for a separating comma while quoted commas are told apart; a noncharacter, never part of text.
-_SEP = "﷐"
+#: Stands for a separating comma while quoted commas are told apart, and the sign by which a text is told that has it.
+_SEP, _ESC = "\ufdd0", "\ufdd1"
 #: Possessive, so that a long cell of digits is read once.
 NUMBER = r"^[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?\z"
 
@@ -86,9 +86,17 @@ def well_quoted(pieces: Column) -> Column:
 
 
 def cells_of(pieces: Column) -> Column:
-    """The unquoted cells of a well-quoted record."""
-    marked = F.array_join(F.transform(pieces, lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit(_SEP))).otherwise(x)), '"')
-    return F.transform(F.split(marked, _SEP, -1), lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    """The unquoted cells of a well-quoted record, whatever signs they hold."""
+    swap = lambda x, *pairs: F.replace(swap(x, *pairs[:-1]), *map(F.lit, pairs[-1])) if pairs else x
+
+    def cut(parts: Column) -> Column:
+        marked = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit(_SEP))).otherwise(x)), '"')
+        return F.transform(F.split(marked, _SEP, -1), lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+    text = F.array_join(pieces, "")
+    apart = F.transform(pieces, lambda x: swap(x, (_ESC, _ESC + "1"), (_SEP, _ESC + "0")))
+    back = F.transform(cut(apart), lambda c: swap(c, (_ESC + "0", _SEP), (_ESC + "1", _ESC)))
+    return F.when(text.contains(_SEP) | text.contains(_ESC), back).otherwise(cut(pieces))
 
 
 def castable(value: Column, kind: Column, schema: tuple[Rule, ...]) -> Column:

@@ -98,6 +98,15 @@ def test_reasons_of_odd_records(spark):
     assert {c: got.get(i) for i, c in enumerate(cases)} == cases
 
 
+def test_cells_may_hold_any_sign(spark):
+    signs = ["\ufdd0", "\ufdd1", "\ufdd10", "\ufdd1\ufdd0,1", "\x01", "a"]
+    records = [f'both,0,1.5,"{x}{y}"' for x in signs for y in signs] + ["both,0,1.5,\ufdd0\ufdd1", "both,0,1.5,\ufdd0,\ufdd1", "nowhere\ufdd0,0,1,x"]
+    got = found(spark, records)
+    assert got == {len(signs) ** 2 + 1: "column_count", len(signs) ** 2 + 2: "invalid_value"}
+    cells = spark.createDataFrame([(r,) for r in records[:-3]], "r string").select("r", quarantine.cells_of(quarantine.quote_pieces(F.col("r"))).alias("c")).collect()
+    assert all(x["c"] == brute.split_record(x["r"])[1] for x in cells)
+
+
 def test_quoting_equals_a_character_machine(spark):
     rnd = random.Random(5)
     found(spark, ["".join(rnd.choice('aa"",,\n 1') for _ in range(rnd.randrange(14))) for _ in range(3_000)], "a,b,c")
